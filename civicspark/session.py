@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,3 +56,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def shipped(spark: SparkSession) -> SparkSession:
+    """Give the Python workers this package, so that functions run there import it by name and keep their caches."""
+    sc = spark.sparkContext
+    if getattr(sc, "_civicspark_shipped", False):
+        return spark
+    root = Path(__file__).resolve().parent
+    path = Path(tempfile.mkdtemp(prefix="civicspark-")) / "civicspark.zip"  # the driver serves it as long as the session lives
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    sc.addPyFile(str(path))
+    sc._civicspark_shipped = True
+    return spark
