@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import written
 from ..sources.tables import table
-from . import bpe, mixing
+from . import bpe, languages, mixing
 
 
 def p7_ids(spark: SparkSession, root: str) -> DataFrame:
@@ -25,4 +25,24 @@ def p8_shares(spark: SparkSession, root: str) -> DataFrame:
     return mixing.reached_shares(p8_mix(spark, root), table(spark, root, "mix_targets"))
 
 
-QUERIES = {f.__name__: f for f in (p7_ids, p8_mix, p8_shares)}
+def _languages(spark: SparkSession, root: str) -> DataFrame:
+    docs = table(spark, root, "documents")
+    return languages.document_languages(docs, languages.trained(docs))
+
+
+def p9_found(spark: SparkSession, root: str) -> DataFrame:
+    """The languages of every document whose label is missing or wrong."""
+    return languages.mislabelled(_languages(spark, root))
+
+
+def p9_documents(spark: SparkSession, root: str) -> DataFrame:
+    """Every document with its languages, their shares and a confidence."""
+    return _languages(spark, root).select("doc_id", "lang", "share", "confidence")
+
+
+def p9_segments(spark: SparkSession, root: str) -> DataFrame:
+    """Every stretch of every document with its language and a confidence."""
+    return languages.segments(_languages(spark, root))
+
+
+QUERIES = {f.__name__: f for f in (p7_ids, p8_mix, p8_shares, p9_found, p9_documents, p9_segments)}
