@@ -38,7 +38,6 @@ _CUT = re.compile(
     r"(?:(?<=[.!?…])[\"'»”’)\]]*\s+(?=[\"'«“‘(\[¿¡]*[^\W\d_a-zß-ÿ])|(?<=[^\W\d_]{4}[.!?…])[\"'»”’)\]]*\s+|(?<=\d\)[.!?…])\s+|\s*[\r\n]+\s*)"
 )
 _NO_WORDS = re.compile(r"(?i)\b(?:https?://|www\.)\S+|\S+@\S+\.\w+|<[^<>]{1,300}>|&(?:[a-z]{2,8}|#\d{1,6}|#x[0-9a-f]{1,5});")
-_OTHER = re.compile(r"[^a-z]+")
 _WRONG = re.compile(r"[ÃÂâ][\u0080-¿€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ]")
 _FOLD = {ord("ß"): "ss", ord("æ"): "ae", ord("œ"): "oe", ord("ø"): "o", ord("ł"): "l", ord("đ"): "d", ord("ı"): "i"}
 
@@ -57,10 +56,21 @@ def repaired(text: str) -> str:
     return _WRONG.sub(again, text) if _WRONG.search(text) else text
 
 
+class _Letters(dict):
+    """Each character's letters a to z without accents, in lower case, or a blank; filled as characters are met."""
+
+    def __missing__(self, code: int) -> str:
+        t = unicodedata.normalize("NFKD", chr(code).lower().translate(_FOLD)) if code != 0xAD else ""
+        self[code] = out = "".join(c if "a" <= c <= "z" else " " for c in t if not unicodedata.combining(c))
+        return out
+
+
+_LETTERS = _Letters()
+
+
 def folded(text: str) -> str:
-    """Only the letters a to z, in words: lower case, accents dropped, anything else one blank."""
-    t = unicodedata.normalize("NFKD", text.lower().translate(_FOLD))
-    return _OTHER.sub(" ", "".join(c for c in t if not unicodedata.combining(c)) if not t.isascii() else t)
+    """Only the letters a to z, in words: lower case, accents dropped, soft hyphens too, anything else one blank."""
+    return " ".join(text.translate(_LETTERS).split())
 
 
 def _unescaped(mark: str) -> str:
@@ -77,7 +87,7 @@ def stretches(text: str) -> list[tuple[int, int, str]]:
     out: list[tuple[int, int, str]] = []
     begin, letters = 0, ""
     for a, b in zip(cuts, cuts[1:]):
-        letters += folded(repaired(text[a:b]).replace("\u00ad", "")) + " "
+        letters += folded(repaired(text[a:b])) + " "
         if len(letters.replace(" ", "")) >= LEAST_LETTERS:
             out.append((begin, b, letters))
             begin, letters = b, ""
@@ -91,7 +101,8 @@ def stretches(text: str) -> list[tuple[int, int, str]]:
 
 def gram_buckets(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of all grams of the pieces, and the piece each belongs to."""
-    joined = " " + " ".join(" ".join(p.split()) + "  " for p in pieces)
+    plain = [" ".join(p.split()) for p in pieces]
+    joined = " " + " ".join(p + "  " for p in plain)
     raw = np.frombuffer(joined.encode(), np.uint8).astype(np.int64)
     code = np.where(raw == 32, 0, raw - 96)
     n = len(code) - GRAM + 1
@@ -100,7 +111,7 @@ def gram_buckets(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
     gram = np.zeros(n, np.int64)
     for k in range(GRAM):
         gram = gram * 27 + code[k : k + n]
-    lengths = np.array([len(" ".join(p.split())) + 3 for p in pieces])
+    lengths = np.array([len(p) + 3 for p in plain])
     owner = np.repeat(np.arange(len(pieces)), lengths)[:n]
     blank = (code[:n] == 0) & (code[1 : n + 1] == 0)
     hashed = (gram * 2654435761 >> 7) % BUCKETS

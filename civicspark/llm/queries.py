@@ -6,7 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import written
 from ..sources.tables import table
-from . import bpe, languages, mixing
+from . import bpe, languages, mixing, truncation
+
+
+def _truncated(spark: SparkSession, root: str) -> DataFrame:
+    return truncation.truncated(table(spark, root, "atos").select("registro", "orgao", "titulo", "descricao"))
+
+
+def p3_found(spark: SparkSession, root: str) -> DataFrame:
+    """Titles and descriptions of acts of which the end is missing."""
+    return _truncated(spark, root).where("sign IS NOT NULL").selectExpr("id AS registro", "campo").distinct()
+
+
+def p3_shares(spark: SparkSession, root: str) -> DataFrame:
+    """The share of cut values per source and field."""
+    return truncation.truncation_shares(_truncated(spark, root))
 
 
 def p7_ids(spark: SparkSession, root: str) -> DataFrame:
@@ -45,4 +59,4 @@ def p9_segments(spark: SparkSession, root: str) -> DataFrame:
     return languages.segments(_languages(spark, root))
 
 
-QUERIES = {f.__name__: f for f in (p7_ids, p8_mix, p8_shares, p9_found, p9_documents, p9_segments)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_shares, p7_ids, p8_mix, p8_shares, p9_found, p9_documents, p9_segments)}
