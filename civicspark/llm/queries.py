@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import written
 from ..sources.tables import table
-from . import bpe, languages, mixing, truncation
+from . import bpe, languages, mixing, repeats, truncation
 
 
 def _truncated(spark: SparkSession, root: str) -> DataFrame:
@@ -23,6 +23,14 @@ def p3_shares(spark: SparkSession, root: str) -> DataFrame:
     return truncation.truncation_shares(_truncated(spark, root))
 
 
+def p6_found(spark: SparkSession, root: str) -> DataFrame:
+    """Acts that repeat the text of an earlier row, with the first row of it; the runs come as two consecutive batches."""
+    rows = table(spark, root, "atos").select("registro", "id_execucao_primeira", "titulo", "descricao")
+    index = repeats.InvertedFile(spark)
+    found = [index.accept(b) for b in repeats.batches_of(rows, "id_execucao_primeira", "registro", 2)]
+    return found[0].unionByName(found[1]).selectExpr("root AS registro_a", "row AS registro_b")
+
+
 def p7_ids(spark: SparkSession, root: str) -> DataFrame:
     """The token ids of every document."""
     return bpe.encoded(table(spark, root, "documents"))
@@ -59,4 +67,4 @@ def p9_segments(spark: SparkSession, root: str) -> DataFrame:
     return languages.segments(_languages(spark, root))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_shares, p7_ids, p8_mix, p8_shares, p9_found, p9_documents, p9_segments)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_shares, p6_found, p7_ids, p8_mix, p8_shares, p9_found, p9_documents, p9_segments)}
