@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shipped
+from ..session import shipped, written
 
 #: Buckets of the table of endings: its size whatever the corpus.
 BUCKETS = 1 << 20
@@ -32,9 +32,18 @@ _ELLIPSIS = re.compile(r"(?:…|\.{3,}|\[\s*(?:…|\.{3,})\s*\]|\(\s*(?:…|\.{3
 _BEHIND = re.compile(r"(?:\([^()]{1,80}\)|·[^·.!?]{1,60}|(?:[^\W\d_][\w ]{0,25}:\s*)?https?://\S*|\[[^\[\]]{1,80}\])$")
 _ENDED = re.compile(r"[.!?…][\"'”’»)\]]*$")
 _TOKEN = re.compile(r"[^\W\d_]+(?:[-'’][^\W\d_]+)*|\d+|[.!?…]|[,;:—–]")
+_OPENING = re.compile(r"[\"(\[{“«]")
+_OMITTING, _BRACKETS, _MARKS, _CUT_BYTES = frozenset("….])"), frozenset(")]"), frozenset(".!?…\"'”’»)]"), frozenset("\ufffdÃÂâ€")
+_ANY = re.compile(r"\w")
 _CLOSING = {")": "(", "]": "[", "}": "{", "”": "“", "»": "«"}
 
 
+def _plain(raw: str) -> str:
+    if "<" in raw:
+        raw = _TAG.sub(" ", raw)
+    return (html.unescape(raw) if "&" in raw else raw).rstrip()
+
+
 def read_end(value: str) -> tuple[str, str | None]:
     """(text, sign): the value without markup and without what was put behind its text, and the sign of a cut, if one shows.
 
@@ -43,29 +52,32 @@ def read_end(value: str) -> tuple[str, str | None]:
     text without an end mark).
     """
     raw = value.rstrip()
+    if raw[-1:] in (".", "!", "?") and raw[-2:-1] not in (".", "…"):
+        return _plain(raw), None
     sign = None
-    if m := _BROKEN_TAG.search(raw):
+    if raw.rfind("<") > raw.rfind(">") and (m := _BROKEN_TAG.search(raw, raw.rfind("<"))):
         raw, sign = raw[: m.start()].rstrip(), "markup"
-    elif m := _BROKEN_ENTITY.search(raw):
+    elif "&" in raw[-10:] and (m := _BROKEN_ENTITY.search(raw, max(0, len(raw) - 10))):
         raw, sign = raw[: m.start()].rstrip(), "entity"
-    elif m := _BROKEN_BYTES.search(raw):
+    elif (raw[-1:] in _CUT_BYTES or "\\" in raw[-6:]) and (m := _BROKEN_BYTES.search(raw, max(0, len(raw) - 6))):
         raw, sign = raw[: m.start()].rstrip(), "bytes"
-    if "<" in raw:
-        raw = _TAG.sub(" ", raw)
-    if "&" in raw:
-        raw = html.unescape(raw)
-    text = raw.rstrip()
+    text = _plain(raw)
     while True:
-        if sign is None and (m := _ELLIPSIS.search(text)):
+        last = text[-1:]
+        if sign is None and last in _OMITTING and (m := _ELLIPSIS.search(text, max(0, len(text) - 20))):
             return text[: m.start()].rstrip(), "ellipsis"
-        if _ENDED.search(text) or not (m := _BEHIND.search(text)):
+        if last in _MARKS and _ENDED.search(text, max(0, len(text) - 20)):
+            break
+        if not (last in _BRACKETS or "·" in text[-62:] or "://" in text[-2000:]) or not (m := _BEHIND.search(text)):
             break
         text = text[: m.start()].rstrip()
-    return text, sign or ("open" if not _ENDED.search(text) and _left_open(text) else None)
+    return text, sign or ("open" if not _ENDED.search(text, max(0, len(text) - 20)) and _left_open(text) else None)
 
 
 def _left_open(text: str) -> bool:
     """Stack automaton over brackets and quotes; a closing mark without its opening one is passed over (lists: "a)")."""
+    if not _OPENING.search(text):
+        return False
     if text.count('"') % 2:
         return True
     stack: list[str] = []
@@ -107,22 +119,61 @@ def _bucket(key: str) -> int:
     return zlib.crc32(key.encode()) % BUCKETS
 
 
-def _follow(tokens: list[str], title: bool, whole: bool, ends: Counter, goes: Counter) -> None:
-    """Count which words and pairs end a text of this kind, and after which it goes on."""
-    kind = "t" if title else "d"
-    last = len(tokens) - 1
-    before = ""
-    for k, w in enumerate(tokens):
-        if w in ".,":
-            before = ""
-            continue
-        after = tokens[k + 1] if k < last else "$"
-        into = ends if after == "." and not title else goes if after not in "$." else ends if after == "$" and title and whole else None
-        if into is not None:
-            into[kind + w] += 1
-            if before:
-                into[kind + before + " " + w] += 1
-        before = w
+class _Words(dict):
+    """Numbers for the tokens of a partition, given as they are met, with what each stands for."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.kind: list[int] = []  # 0 a word, 1 an end mark, 2 another mark, 3 one that begins anew, 4 the end of a value
+        self.lower: list[int] = []
+        self.name: list[int] = []
+        self.word: dict[str, int] = {}
+        self.words: list[str] = []
+
+    def number(self, word: str) -> int:
+        if word not in self.word:
+            self.word[word] = len(self.words)
+            self.words.append(word)
+        return self.word[word]
+
+    def __missing__(self, t: str) -> int:
+        c = t[0]
+        self.kind.append(4 if c == "\0" else 1 if c in ".!?…" else 3 if c in "—–:" else 2 if c in ",;" else 0)
+        low = self.number("0" if c.isdigit() else t.lower())
+        self.lower.append(low)
+        self.name.append(self.number("^" + t[-3:].lower()) if c.isupper() and len(t) > 2 and t[1:].islower() else low)
+        self[t] = n = len(self)
+        return n
+
+
+_TOKEN_OR_END = re.compile(_TOKEN.pattern + "|\0")
+
+
+def _follow(texts: list[str], whole: list[bool], title: bool, words: _Words, ends: Counter, goes: Counter) -> None:
+    """Count which words and pairs of words end texts of this kind, and behind which they go on; reads like _tokens(), for many texts at once."""
+    if not texts:
+        return
+    t = np.fromiter(map(words.__getitem__, _TOKEN_OR_END.findall("\0".join(["", *(x.replace("\0", " ") for x in texts), ""]))), np.int64)
+    kind = np.array(words.kind)[t]
+    begins = np.r_[True, kind[:-1] != 0] & np.r_[True, kind[:-1] != 2]
+    word = np.where(begins, np.array(words.lower)[t], np.array(words.name)[t])
+    is_word = kind == 0
+    after = np.r_[kind[1:], 4]
+    if title:
+        value = np.cumsum(kind == 4) - 1
+        sound = np.r_[whole, False][np.clip(value, 0, len(whole))]
+        end = is_word & (after == 4) & sound
+    else:
+        end = is_word & (after == 1)
+    go = is_word & np.isin(after, (0, 2, 3))
+    pair = np.r_[False, is_word[:-1]] & is_word
+    before = np.r_[0, word[:-1]]
+    for mask, into in ((end, ends), (go, goes)):
+        for key, n in zip(*np.unique(word[mask], return_counts=True)):
+            into[int(key)] += int(n)
+        both = mask & pair
+        for key, n in zip(*np.unique((before[both] + 1 << 32) + word[both], return_counts=True)):
+            into[int(key)] += int(n)
 
 
 def endings(values: DataFrame, text: str, title: str) -> np.ndarray:
@@ -134,19 +185,24 @@ def endings(values: DataFrame, text: str, title: str) -> np.ndarray:
     shipped(values.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ends, goes = Counter(), Counter()
+        words = _Words()
+        counts = {name: (Counter(), Counter()) for name in "dt"}
         for b in batches:
             for name, at in (("d", 0), ("t", 1)):
-                for v in b.column(at).to_pylist():
-                    if v:
-                        read, sign = read_end(v)
-                        _follow(_tokens(read), name == "t", sign is None, ends, goes)
-        for key in {k[1:] for k in goes if " " not in k}:  # the beginnings of words known to be whole
-            goes.update("p" + key[:j] for j in range(1, len(key)))
+                read = [read_end(v) for v in b.column(at).to_pylist() if v]
+                _follow([t for t, _ in read], [sign is None for _, sign in read], name == "t", words, *counts[name])
         n: dict[int, list[int]] = {}
-        for j, c in enumerate((ends, goes)):
-            for key, k in c.items():
-                n.setdefault(_bucket(key), [0, 0])[j] += k
+        known: set[int] = set()
+        for name, both in counts.items():
+            for j, c in enumerate(both):
+                for key, k in c.items():
+                    pair = key >> 32
+                    text = (words.words[pair - 1] + " " if pair else "") + words.words[key & 0xFFFFFFFF]
+                    n.setdefault(_bucket(name + text), [0, 0])[j] += k
+                    if j and not pair:
+                        known.add(key)
+        for begin in {words.words[k][:j] for k in known for j in range(1, len(words.words[k]))}:  # beginnings of words known to be whole
+            n.setdefault(_bucket("p" + begin), [0, 0])[1] += 1
         keys = sorted(n)
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *[pa.array([n[k][j] for k in keys], pa.int64()) for j in (0, 1)]], names=["bucket", "ends", "goes"])
 
@@ -183,6 +239,8 @@ def _may_end(tokens: list[str], title: bool, table: np.ndarray) -> bool:
         w = "^" + w[-3:]
     if not whole(w):
         return False
+    if title and len(words) == 1:  # a title that only names a kind
+        return True
     e, g = count(w)
     if e < LEAST_WORD * (e + g) or e == 0:
         return False
@@ -209,7 +267,7 @@ def classified(values: DataFrame, table: np.ndarray, id: str, source: str, field
                 at: list[int] = []
                 rows: list[tuple] = []
                 for i, v in enumerate(b.column(k + 2).to_pylist()):
-                    if not v or not any(c.isalnum() for c in v):
+                    if not v or not _ANY.search(v):
                         continue
                     read, sign = read_end(v)
                     ended = bool(_ENDED.search(read))
@@ -249,11 +307,11 @@ def with_length_limits(rows: DataFrame) -> DataFrame:
 def truncated(values: DataFrame, id: str = "registro", source: str = "orgao", text: str = "descricao", title: str = "titulo") -> DataFrame:
     """(id, source, campo, n, ended, sign) of every value of text and title, sign telling why its end is missing; null if it is not.
 
-    Null, empty and mark-only values are no cases. Two passes over the whole table; nothing but counts is shuffled, and rows that
-    repeat an id are judged one by one.
+    Null, empty and mark-only values are no cases. Two passes over the whole table; nothing but counts is shuffled, what the second finds
+    is written once, and rows that repeat an id are judged one by one.
     """
     table = endings(values, text, title)
-    return with_length_limits(classified(values, table, id, source, (title, text), (title,)))
+    return with_length_limits(written(classified(values, table, id, source, (title, text), (title,)), "read-ends"))
 
 
 def truncation_shares(rows: DataFrame, source: str = "orgao") -> DataFrame:
