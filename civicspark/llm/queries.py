@@ -6,7 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import written
 from ..sources.tables import table
-from . import bpe, languages, mixing, repeats, truncation
+from . import bpe, languages, mixing, names, repeats, truncation
+
+
+def p1_found(spark: SparkSession, root: str) -> DataFrame:
+    """Pairs of parliamentarians' records that name one person."""
+    return names.person_pairs(names.persons(table(spark, root, "parliamentarians")))
 
 
 def _truncated(spark: SparkSession, root: str) -> DataFrame:
@@ -67,4 +72,4 @@ def p9_segments(spark: SparkSession, root: str) -> DataFrame:
     return languages.segments(_languages(spark, root))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_shares, p6_found, p7_ids, p8_mix, p8_shares, p9_found, p9_documents, p9_segments)}
+QUERIES = {f.__name__: f for f in (p1_found, p3_found, p3_shares, p6_found, p7_ids, p8_mix, p8_shares, p9_found, p9_documents, p9_segments)}
