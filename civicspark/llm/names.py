@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpointed, shipped, written
+from ..session import shipped, written
 
 #: Edits (insert, delete, replace) within which two family names may be one.
 RADIUS = 2
@@ -301,15 +301,21 @@ def judged_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return picked.mapInArrow(run, "a bigint, b bigint, verdict string, same_group boolean").where("verdict IS NOT NULL")
 
 
+def _kept(step: DataFrame) -> DataFrame:
+    """A step of an iteration as a written table: unlike a checkpoint it doesn't hand on the constraints the planner found before, which
+    would grow from round to round."""
+    return written(step, "name-step")
+
+
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, label): the least node of each connected component; labels travel along edges and are shortened until none changes."""
-    both = checkpointed(edges.selectExpr("a", "b").unionByName(edges.selectExpr("b AS a", "a AS b")).distinct())
-    now = checkpointed(nodes.select("node", F.col("node").alias("label")))
+    both = _kept(edges.selectExpr("a", "b").unionByName(edges.selectExpr("b AS a", "a AS b")).distinct())
+    now = _kept(nodes.select("node", F.col("node").alias("label")))
     while True:
         near = both.join(now, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("near"))
         step = now.join(near, F.col("node") == F.col("a"), "left").select("node", F.col("label").alias("old"), F.least("label", F.coalesce("near", "label")).alias("mid"))
         up = now.select(F.col("node").alias("mid"), F.col("label").alias("up"))
-        new = checkpointed(step.join(up, "mid").select("node", "old", F.col("up").alias("label")))
+        new = _kept(step.join(up, "mid").select("node", "old", F.col("up").alias("label")))
         if new.where("old <> label").isEmpty():
             return new.select("node", "label")
         now = new.select("node", "label")
@@ -324,7 +330,7 @@ def merged(nodes: DataFrame, verdicts: DataFrame) -> DataFrame:
     ways = verdicts.where("verdict <> 'same'")
     forward = ways.where("verdict IN ('less', 'mixed')").selectExpr("a AS x", "b AS y", "same_group", "verdict = 'mixed' AS mixed")
     backward = ways.where("verdict IN ('more', 'mixed')").selectExpr("b AS x", "a AS y", "same_group", "verdict = 'mixed' AS mixed")
-    ways = checkpointed(forward.unionByName(backward))
+    ways = _kept(forward.unionByName(backward))
     for k in range(ROUNDS):
         last = k == ROUNDS - 1
         lab = lambda c, to: labels.select(F.col("node").alias(c), F.col("label").alias(to))
@@ -336,11 +342,11 @@ def merged(nodes: DataFrame, verdicts: DataFrame) -> DataFrame:
         chosen = count.select(F.col("from").alias("a"), F.when(F.col("all") == 1, F.col("any_to")).when(F.col("own") == 1, F.col("own_to")).alias("b")).where("b IS NOT NULL")
         joined = components(labels.select(F.col("label").alias("node")).distinct(), chosen)
         new = labels.join(joined.select(F.col("node").alias("label"), F.col("label").alias("to")), "label").select("node", F.col("to").alias("label"))
-        labels = checkpointed(new)
+        labels = _kept(new)
     lab = lambda c, to: labels.select(F.col("node").alias(c), F.col("label").alias(to))
     left = ways.join(lab("x", "from"), "x").join(lab("y", "to"), "y").where("`from` <> `to`")
-    left = checkpointed(left.select(F.least("from", "to").alias("a"), F.greatest("from", "to").alias("b")).distinct())
-    groups = checkpointed(components(left.select(F.col("a").alias("node")).union(left.select("b")).distinct(), left))
+    left = _kept(left.select(F.least("from", "to").alias("a"), F.greatest("from", "to").alias("b")).distinct())
+    groups = _kept(components(left.select(F.col("a").alias("node")).union(left.select("b")).distinct(), left))
     size = groups.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
     links = left.join(groups.withColumnRenamed("node", "a"), "a").groupBy("label").agg(F.count(F.lit(1)).alias("m"))
     whole = size.join(links, "label").where(F.col("m") * 2 == F.col("n") * (F.col("n") - 1)).select("label")
