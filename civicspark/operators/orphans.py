@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import written
 from .history import trimmed
 
 #: A key is heavy from one in this many references on; there are then at most as many heavy keys.
@@ -41,13 +42,10 @@ def orphan_references(references: DataFrame, targets: DataFrame, heavy_share: in
     inputs give no rows.
     """
     key = ["tabela", "ref"]
-    refs = (
-        references.groupBy("tabela", "ref", "id", "at")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("periodo", F.date_format("at", "yyyy-MM"))
-    )
-    per_key = references.groupBy("tabela", "ref", F.date_format("at", "yyyy-MM").alias("periodo")).agg(F.count(F.lit(1)).alias("n"))
-    sums = per_key.groupBy(*key).agg(F.sum("n").alias("n"))
+    counted = references.groupBy("tabela", "ref", "id", "at").agg(F.count(F.lit(1)).alias("n"))
+    refs = written(counted.withColumn("periodo", F.date_format("at", "yyyy-MM")), "references")
+    per_key = refs.groupBy(*key, "periodo").agg(F.sum("n").alias("n"))
+    sums = written(per_key.groupBy(*key).agg(F.sum("n").alias("n")), "reference-sums")
     total = sums.agg(F.sum("n").alias("total"))
     heavy = sums.crossJoin(F.broadcast(total)).where(F.col("n") * heavy_share >= F.col("total")).select(*key)  # total: one row
     spans = (
