@@ -24,9 +24,9 @@ def stream_dedup(spark: SparkSession, root: str) -> DataFrame:
 
 
 def stream_rate_limit(spark: SparkSession, root: str) -> DataFrame:
-    """Users with more than three events in an hour, by a stream."""
+    """Users with more than one event in an hour, by a stream."""
     s = incremental.parquet_stream(spark, f"{root}/events.parquet")
-    return incremental.run_to_end(incremental.limited(s, "ts", "user_id", "1 hour", 3), "limit", "complete").where("excedido").select("user_id", "janela", "n")
+    return incremental.run_to_end(incremental.limited(s, "ts", "user_id", "1 hour", 1), "limit", "complete").where("excedido").select("user_id", "janela", "n")
 
 
 def parse_listing(spark: SparkSession, root: str) -> DataFrame:
@@ -42,6 +42,6 @@ QUERIES = {f.__name__: f for f in (stream_daily_counts, stream_dedup, stream_rat
 SQL = {
     "stream_daily_counts": "SELECT strftime(ts,'%Y-%m-%d') AS dia, event_type, count(*) AS n FROM events GROUP BY ALL",
     "stream_dedup": "SELECT event_id, user_id FROM events",
-    "stream_rate_limit": "SELECT user_id, strftime(date_trunc('hour',ts),'%Y-%m-%d %H:%M:%S') AS janela, count(*) AS n FROM events GROUP BY ALL HAVING count(*)>3",
+    "stream_rate_limit": "SELECT user_id, strftime(date_trunc('hour',ts),'%Y-%m-%d %H:%M:%S') AS janela, count(*) AS n FROM events GROUP BY ALL HAVING count(*)>1",
     "parse_listing": "SELECT orgao, count(*) FILTER (WHERE trim(titulo)<>'') AS itens, count(*) FILTER (WHERE trim(titulo)<>'' AND trim(regexp_replace(coalesce(descricao,''),'<[^>]+>',' ','g'))<>'') AS descritos FROM atos GROUP BY 1",
 }
