@@ -137,7 +137,7 @@ def reached_shares(mix: DataFrame, targets: DataFrame) -> DataFrame:
     both = got.join(F.broadcast(targets.select("source", "peso", "max_repeticoes")), "source", "full")  # the small targets
     return both.crossJoin(F.broadcast(all_)).select(
         "source", "peso", "max_repeticoes", F.coalesce("documents", F.lit(0)).alias("documents"), F.coalesce("tokens_corpus", F.lit(0)).alias("tokens_corpus"),
-        F.coalesce("tokens_mix", F.lit(0)).alias("tokens_mix"), F.coalesce(F.col("tokens_mix") / F.col("all"), F.lit(0.0)).alias("share"),
+        F.coalesce("tokens_mix", F.lit(0)).alias("tokens_mix"), F.coalesce(F.try_divide("tokens_mix", "all"), F.lit(0.0)).alias("share"),
         F.coalesce("most_copies", F.lit(0)).alias("most_copies"),
     )
 

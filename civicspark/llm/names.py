@@ -287,10 +287,12 @@ def judged_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
-            c = [t.column(k).to_pylist() for k in range(2, 8)]
+            c = [t.column(k).to_pylist() for k in range(2, 9)]
             out = []
-            for pa_, ka, pb, kb, sa, sb in zip(*c):
+            for pa_, ka, pb, kb, sa, sb, alike in zip(*c):
                 v = _judged(pa_, ka, pb, kb)
+                if v == "same" and sa is None and sb is None and not alike:
+                    v = "mixed"  # without a state nor a group in common they may be namesakes
                 if v and (sa is None) != (sb is None):
                     lacks = "less" if sa is None else "more"
                     v = lacks if v in ("same", lacks) else "mixed"
@@ -340,6 +342,9 @@ def merged(nodes: DataFrame, verdicts: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("all"), F.count_if("mine").alias("own"), F.min("to").alias("any_to"), F.min(F.when(F.col("mine"), F.col("to"))).alias("own_to")
         )
         chosen = count.select(F.col("from").alias("a"), F.when(F.col("all") == 1, F.col("any_to")).when(F.col("own") == 1, F.col("own_to")).alias("b")).where("b IS NOT NULL")
+        chosen = _kept(chosen)
+        moved = lab("x", "from").join(chosen.select(F.col("a").alias("from")), "from", "left_semi").select("x")
+        ways = _kept(ways.join(moved, "x", "left_anti"))  # who has joined a class is not to join a second one
         joined = components(labels.select(F.col("label").alias("node")).distinct(), chosen)
         new = labels.join(joined.select(F.col("node").alias("label"), F.col("label").alias("to")), "label").select("node", F.col("to").alias("label"))
         labels = _kept(new)
