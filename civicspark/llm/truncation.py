@@ -19,10 +19,11 @@ from ..session import shipped, written
 BUCKETS = 1 << 20
 
 #: A word, or its last two words, may end a text if at least this share of its occurrences end one.
-LEAST_WORD, LEAST_PAIR = 0.004, 0.03
+LEAST_WORD, LEAST_PAIR = 0.01, 0.03
 
-#: A length is a limit of its source where this many times more values stand than at the lengths around it, on average.
-SPIKE, AROUND = 3.0, 12
+#: A length is a limit of its source where this many times more values stand than at the lengths around it, on average;
+#: a source that cuts between words has its cuts within so many letters.
+SPIKE, AROUND, WORD = 3.0, 24, 5
 
 _TAG = re.compile(r"<[^<>]*>")
 _BROKEN_TAG = re.compile(r"<(?:/?[A-Za-z][^<>]*|/)?$")
@@ -35,6 +36,7 @@ _TOKEN = re.compile(r"[^\W\d_]+(?:[-'’][^\W\d_]+)*|\d+|[.!?…]|[,;:—–]")
 _OPENING = re.compile(r"[\"(\[{“«]")
 _OMITTING, _BRACKETS, _MARKS, _CUT_BYTES = frozenset("….])"), frozenset(")]"), frozenset(".!?…\"'”’»)]"), frozenset("\ufffdÃÂâ€")
 _ANY = re.compile(r"\w")
+_YEAR = re.compile(r"\d/\d{4}$")
 _CLOSING = {")": "(", "]": "[", "}": "{", "”": "“", "»": "«"}
 
 
@@ -102,7 +104,7 @@ def _tokens(text: str) -> list[str]:
             begins = True
             continue
         if c in ",;:—–":
-            out.append(",")
+            out.append(";" if c == ";" else ",")
             begins = c in "—–:"
             continue
         if c.isdigit():
@@ -214,12 +216,16 @@ def endings(values: DataFrame, text: str, title: str) -> np.ndarray:
     return out
 
 
-def _may_end(tokens: list[str], title: bool, table: np.ndarray) -> bool:
+def _may_end(tokens: list[str], title: bool, table: np.ndarray, year: bool = False) -> bool:
     """Whether a text may end with these words: its last word is a whole one, as it goes on elsewhere or begins no word that does,
-    and ends texts often enough, alone and with the word before it. A comma, colon or dash ends none."""
+    and ends texts often enough, alone and with the word before it. A comma, colon or dash ends
+    none; a semicolon is read like a full stop. year: whether a number/year stands last."""
     kind = "t" if title else "d"
+    while tokens and tokens[-1] == ";":  # closes a clause, like a full stop
+        tokens = tokens[:-1]
     if not tokens or tokens[-1] == ",":
         return not tokens
+    tokens = ["," if t == ";" else t for t in tokens]
     words = [w for w in tokens if w not in ".,"]
     if not words:
         return True
@@ -233,13 +239,13 @@ def _may_end(tokens: list[str], title: bool, table: np.ndarray) -> bool:
         if x == "0":
             return True
         (ends, goes), (last, on) = table[_bucket("d" + x)].tolist(), table[_bucket("t" + x)].tolist()
-        return goes + on + ends > 1 or (last > 2 and table[_bucket("p" + x), 1] == 0)
+        return ends > 1 or goes + on > max(1, 0.1 * last) or (last > 2 and table[_bucket("p" + x), 1] == 0)
 
     if not whole(w) and not w.startswith("^") and len(w) > 3:
         w = "^" + w[-3:]
     if not whole(w):
         return False
-    if title and len(words) == 1:  # a title that only names a kind
+    if title and (len(words) == 1 or (w == "0" and year)):  # a title that only names a kind, or a kind and a number
         return True
     e, g = count(w)
     if e < LEAST_WORD * (e + g) or e == 0:
@@ -248,12 +254,15 @@ def _may_end(tokens: list[str], title: bool, table: np.ndarray) -> bool:
         e, g = count(before + " " + w)
         if e == 0 or e < LEAST_PAIR * (e + g):
             return False
+        if title and g == 0 and len(w) < 4 and table[_bucket("d" + w)].any() and table[_bucket("d" + before + " " + w)].sum() < 0.2 * e:
+            return False  # a short word that meets the one before at cut ends only
     return True
 
 
 def classified(values: DataFrame, table: np.ndarray, id: str, source: str, fields: tuple[str, ...], titles: tuple[str, ...]) -> DataFrame:
-    """(id, source, campo, n, ended, sign): one row per value; n its length in code points, ended whether its text ends with a mark,
-    sign why it counts as cut ('words' where only its last words tell), or null. Null values and values without a letter
+    """(id, source, campo, n, ended, sign, blank, bare): one row per value; n its length in code points, ended whether its text ends with a
+    mark, sign why it counts as cut ('words' where only its last words tell), or null; blank whether white space stands last, bare whether
+    nothing was put behind the text. Null values and values without a letter
     or digit give no row."""
     spark = shipped(values.sparkSession)
     sent = spark.sparkContext.broadcast(table)  # BUCKETS x 2, a fixed size
@@ -271,37 +280,54 @@ def classified(values: DataFrame, table: np.ndarray, id: str, source: str, field
                         continue
                     read, sign = read_end(v)
                     ended = bool(_ENDED.search(read))
-                    if sign is None and not ended and not _may_end(_tokens(read[-160:]), is_title, t):
+                    alone = read[-1:].islower() and not read[-2:-1].isalnum()  # a single small letter ends no text
+                    if sign is None and not ended and (alone or not _may_end(_tokens(read[-160:]), is_title, t, bool(_YEAR.search(read, max(0, len(read) - 12))))):
                         sign = "words"
+                    tail = v.rstrip()
                     at.append(i)
-                    rows.append((len(v), ended, sign))
+                    rows.append((len(v), ended, sign, len(tail) < len(v), len(read) == len(tail)))
                 take = pa.array(at, pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(take), b.column(1).take(take), pa.array([name] * len(rows), pa.string()), pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.bool_()), pa.array([r[2] for r in rows], pa.string())],
-                    names=["id", "source", "campo", "n", "ended", "sign"],
+                    [b.column(0).take(take), b.column(1).take(take), pa.array([name] * len(rows), pa.string()), pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.bool_()), pa.array([r[2] for r in rows], pa.string()), pa.array([r[3] for r in rows], pa.bool_()), pa.array([r[4] for r in rows], pa.bool_())],
+                    names=["id", "source", "campo", "n", "ended", "sign", "blank", "bare"],
                 )
 
     rows = values.select(F.col(id).alias("id"), F.col(source).cast("string").alias("source"), *fields)
-    return rows.mapInArrow(run, f"id {kind}, source string, campo string, n int, ended boolean, sign string")
+    return rows.mapInArrow(run, f"id {kind}, source string, campo string, n int, ended boolean, sign string, blank boolean, bare boolean")
 
 
-def with_length_limits(rows: DataFrame) -> DataFrame:
-    """The rows of classified(), with the sign 'limit' on values without an end mark that stand at a length limit of their source.
+def with_baselines(rows: DataFrame) -> DataFrame:
+    """The rows of classified() with the signs that only show against their source: 'limit' and 'blank', for values without an end mark.
 
-    A length is a limit where the values of a source and field that would pass by their words, but have no end mark, are SPIKE
-    times as many as on average at the AROUND lengths on either side, and where cut values gather as well. The counts per source, field and
-    length are a small table; it meets the rows in a join of the planner's choice.
+    'limit': a value with nothing behind it at a length where the values that would pass by their words are SPIKE times as many as on average
+    around, and where cut values gather as well; at that length exactly, or within WORD letters of it where a source cuts between words.
+    'blank': white space stands last, in a source where it (nearly) never does behind an end mark.
+    Counts per source, field and length are a small table; it meets the rows in a join of the planner's choice.
     """
     open_ = F.col("sign").isNull() & ~F.col("ended")
-    n = rows.groupBy("source", "campo", "n").agg(F.count_if(open_).alias("open"), F.count_if(F.col("sign") == "words").alias("cut"))
-    near = Window.partitionBy("source", "campo").orderBy("n").rangeBetween(-AROUND, AROUND)  # a row per length
-    mean = lambda c: (F.sum(c).over(near) - F.col(c)) / (2 * AROUND)
-    limits = n.select("source", "campo", "n", "open", "cut", mean("open").alias("open_near"), mean("cut").alias("cut_near")).where(
-        (F.col("open") >= 3) & (F.col("cut") >= 3) & (F.col("open") > SPIKE * F.col("open_near")) & (F.col("cut") > SPIKE * F.col("cut_near"))
-    )
-    mark = limits.select(F.col("source").alias("s"), F.col("campo").alias("c"), F.col("n").alias("l"), F.lit(True).alias("limit"))
-    both = rows.join(mark, F.col("source").eqNullSafe(F.col("s")) & (F.col("campo") == F.col("c")) & (F.col("n") == F.col("l")), "left")
-    return both.withColumn("sign", F.when(open_ & F.col("limit"), "limit").otherwise(F.col("sign"))).drop("s", "c", "l", "limit")
+    key = ["source", "campo"]
+    n = rows.groupBy(*key, "n").agg(
+        F.count_if(open_ & F.col("bare")).alias("open"), F.count_if(F.col("sign").isin("words", "bytes", "open")).alias("cut"), F.count_if("ended").alias("ended"),
+        F.count_if(F.col("ended") & F.col("blank")).alias("ended_blank"), F.count_if(~F.col("ended")).alias("rest"), F.count_if(~F.col("ended") & F.col("blank")).alias("rest_blank"),
+    )
+    n = written(n, "lengths")
+    within = lambda c, k: F.sum(c).over(Window.partitionBy(*key).orderBy("n").rangeBetween(-k, k))  # noqa: E731  # a row per length
+    near = n.select(*key, "n", "open", "cut", *[within(c, k).alias(f"{c}_{k}") for c in ("open", "cut") for k in (WORD, AROUND)])
+    far = lambda c: F.col(f"{c}_{AROUND}") - F.col(f"{c}_{WORD}")
+    lengths = 2 * (AROUND - WORD)
+    exact = [(F.col(c) >= 3) & (F.col(c) > SPIKE * (F.col(f"{c}_{AROUND}") - F.col(c)) / (2 * AROUND)) for c in ("open", "cut")]
+    wide = [(F.col(f"{c}_{WORD}") >= 5) & (F.col(f"{c}_{WORD}") / (2 * WORD + 1) > SPIKE * far(c) / lengths) for c in ("open", "cut")]
+    spiked = near.select(*key, "n", (exact[0] & exact[1]).alias("exact"), (wide[0] & wide[1]).alias("wide"))
+    none_near = F.max("exact").over(Window.partitionBy(*key).orderBy("n").rangeBetween(-WORD, WORD)) == F.lit(False)
+    limits = spiked.withColumn("limit", F.col("exact") | (F.col("wide") & none_near)).where("limit")
+    blanks = n.groupBy(*key).agg(*[F.sum(c).alias(c) for c in ("ended", "ended_blank", "rest", "rest_blank")])
+    rare = F.when(F.col("ended") > 0, F.col("ended_blank") <= 0.02 * F.col("ended")).otherwise(F.col("rest_blank") <= 0.02 * F.col("rest"))
+    limits = limits.select(F.col("source").alias("s"), F.col("campo").alias("c"), F.col("n").alias("l"), "limit")
+    blanks = blanks.where(rare).select(F.col("source").alias("s2"), F.col("campo").alias("c2"), F.lit(True).alias("rare"))
+    both = rows.join(limits, F.col("source").eqNullSafe(F.col("s")) & (F.col("campo") == F.col("c")) & (F.col("n") == F.col("l")), "left")
+    both = both.join(blanks, F.col("source").eqNullSafe(F.col("s2")) & (F.col("campo") == F.col("c2")), "left")
+    sign = F.when(open_ & F.col("limit") & F.col("bare"), "limit").when(open_ & F.col("rare") & F.col("blank"), "blank").otherwise(F.col("sign"))
+    return both.withColumn("sign", sign).select(*rows.columns)
 
 
 def truncated(values: DataFrame, id: str = "registro", source: str = "orgao", text: str = "descricao", title: str = "titulo") -> DataFrame:
@@ -311,7 +337,7 @@ def truncated(values: DataFrame, id: str = "registro", source: str = "orgao", te
     is written once, and rows that repeat an id are judged one by one.
     """
     table = endings(values, text, title)
-    return with_length_limits(written(classified(values, table, id, source, (title, text), (title,)), "read-ends"))
+    return with_baselines(written(classified(values, table, id, source, (title, text), (title,)), "read-ends"))
 
 
 def truncation_shares(rows: DataFrame, source: str = "orgao") -> DataFrame:

@@ -70,8 +70,13 @@ def test_odd_rows(spark):
     assert truncation.truncated(df.limit(0)).count() == 0
 
 
-def test_length_limit(spark):
-    base = [(k, "s", "d", 80 + k % 40, False, None) for k in range(200)] + [(k, "s", "d", 100, False, None) for k in range(1000, 1040)] + [(k, "s", "d", 100, False, "words") for k in range(2000, 2040)]
-    df = spark.createDataFrame(base, "id bigint, source string, campo string, n int, ended boolean, sign string")
-    got = truncation.with_length_limits(df)
-    assert {r.n for r in got.where("sign = 'limit'").collect()} == {100} and got.count() == len(base)
+def test_baselines(spark):
+    base = [(k, "s", "d", 80 + k % 60, False, None, False, True) for k in range(240)] + [(k, "s", "d", 100, False, None, False, True) for k in range(1000, 1040)] + [(k, "s", "d", 100, False, "words", False, True) for k in range(2000, 2040)]
+    base += [(3000, "s", "d", 100, False, None, False, False)]  # something was put behind it
+    base += [(4000 + k, "t", "d", 200 + k % 50, True, None, False, True) for k in range(100)] + [(5000, "t", "d", 222, False, None, True, True)]
+    base += [(6000 + k, "u", "d", 200 + k % 50, True, None, True, True) for k in range(100)] + [(7000, "u", "d", 222, False, None, True, True)]
+    df = spark.createDataFrame(base, "id bigint, source string, campo string, n int, ended boolean, sign string, blank boolean, bare boolean")
+    got = truncation.with_baselines(df)
+    limit = got.where("sign = 'limit'").collect()
+    assert {r.n for r in limit} == {100} and not any(r.id == 3000 for r in limit) and got.count() == len(base)
+    assert {r.id for r in got.where("sign = 'blank'").collect()} == {5000}
