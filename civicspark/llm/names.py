@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 from ..session import shipped, written
 
-#: Edits (insert, delete, replace) within which two family names may be one.
-RADIUS = 2
+#: Slips (insert, delete, replace, two letters in each other's place) within which two family names may be one; the join finds all
+#: pairs within twice as many edits, since letters in each other's place are two edits.
+SLIPS = 2
+RADIUS = 2 * SLIPS
 
 #: A part of a name found in more states than this is a common one: a given name, or a family name of many families.
 COMMON_STATES = 4
@@ -245,7 +247,7 @@ def _judged(pa_: list[str], ka: str, pb: list[str], kb: str) -> str | None:
     for fa, ga in _readings(pa_, ka):
         for fb, gb in _readings(pb, kb):
             x, y = pa_[fa], pb[fb]
-            if x != y and (len(x) < 4 or len(y) < 4 or slips(x, y, RADIUS) > RADIUS):
+            if x != y and (len(x) < 4 or len(y) < 4 or slips(x, y, SLIPS) > SLIPS):
                 continue
             got = _compared(pa_, ka, fa, ga, pb, kb, fb, gb)
             if order[got] > order[best]:

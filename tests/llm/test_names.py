@@ -23,7 +23,7 @@ def test_radius_join_is_exact(spark, monkeypatch, per_cell, chunk):
     r = random.Random(2)
     texts = {"".join(r.choice(["ba", "do", "ri", "so", "x"]) for _ in range(r.randint(2, 4))) for _ in range(250)} | {"", "a" * 500}
     df = spark.createDataFrame([(b, t) for t in texts for b in (["s", "t"] if len(t) < 6 else ["s"])] + [("s", None)], "state string, x string")
-    got = {tuple(p) for p in names.radius_pairs(df.withColumnRenamed("x", "name"), ["state"], "name").collect()}
+    got = {tuple(p) for p in names.radius_pairs(df.withColumnRenamed("x", "name"), ["state"], "name", 2).collect()}
     want = {(s, min(a, b), max(a, b)) for s in "st" for a in texts for b in texts if a <= b and (s == "s" or (len(a) < 6 and len(b) < 6)) and plain_edits(a, b) <= 2}
     assert got == want
 
