@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import written
-from ..sources.tables import table
+from ..sources.tables import spread, table
 from . import bpe, languages, mixing, names, repeats, truncation
 
 
@@ -15,7 +15,7 @@ def p1_found(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _truncated(spark: SparkSession, root: str) -> DataFrame:
-    return truncation.truncated(table(spark, root, "atos").select("registro", "orgao", "titulo", "descricao"))
+    return truncation.truncated(spread(table(spark, root, "atos").select("registro", "orgao", "titulo", "descricao")))
 
 
 def p3_found(spark: SparkSession, root: str) -> DataFrame:
@@ -30,7 +30,7 @@ def p3_shares(spark: SparkSession, root: str) -> DataFrame:
 
 def p6_found(spark: SparkSession, root: str) -> DataFrame:
     """Acts that repeat the text of an earlier row, with the first row of it; the runs come as two consecutive batches."""
-    rows = table(spark, root, "atos").select("registro", "id_execucao_primeira", "titulo", "descricao")
+    rows = spread(table(spark, root, "atos").select("registro", "id_execucao_primeira", "titulo", "descricao"))
     index = repeats.InvertedFile(spark)
     found = [index.accept(b) for b in repeats.batches_of(rows, "id_execucao_primeira", "registro", 2)]
     return found[0].unionByName(found[1]).selectExpr("root AS registro_a", "row AS registro_b")
@@ -38,12 +38,12 @@ def p6_found(spark: SparkSession, root: str) -> DataFrame:
 
 def p7_ids(spark: SparkSession, root: str) -> DataFrame:
     """The token ids of every document."""
-    return bpe.encoded(table(spark, root, "documents"))
+    return bpe.encoded(spread(table(spark, root, "documents").select("doc_id", "text")))
 
 
 def p8_mix(spark: SparkSession, root: str) -> DataFrame:
     """How often each document occurs in the mix."""
-    counts = written(bpe.token_counts(table(spark, root, "documents"), ["doc_id", "source"]), "token-counts")
+    counts = written(bpe.token_counts(spread(table(spark, root, "documents").select("doc_id", "source", "text")), ["doc_id", "source"]), "token-counts")
     return mixing.mixed(counts, table(spark, root, "mix_targets"))
 
 
@@ -53,7 +53,7 @@ def p8_shares(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _languages(spark: SparkSession, root: str) -> DataFrame:
-    docs = table(spark, root, "documents")
+    docs = spread(table(spark, root, "documents").select("doc_id", "text", "lang"))
     return languages.document_languages(docs, languages.trained(docs))
 
 
