@@ -133,9 +133,9 @@ def reached_shares(mix: DataFrame, targets: DataFrame) -> DataFrame:
         F.sum(F.col("n_tokens") * F.col("copies")).alias("tokens_mix"),
         F.max("copies").alias("most_copies"),
     )
-    all_ = got.agg(F.sum("tokens_mix").alias("all"))
+    got = got.withColumn("all", F.sum("tokens_mix").over(Window.partitionBy()))  # a row per source
     both = got.join(F.broadcast(targets.select("source", "peso", "max_repeticoes")), "source", "full")  # the small targets
-    return both.crossJoin(F.broadcast(all_)).select(
+    return both.select(
         "source", "peso", "max_repeticoes", F.coalesce("documents", F.lit(0)).alias("documents"), F.coalesce("tokens_corpus", F.lit(0)).alias("tokens_corpus"),
         F.coalesce("tokens_mix", F.lit(0)).alias("tokens_mix"), F.coalesce(F.try_divide("tokens_mix", "all"), F.lit(0.0)).alias("share"),
         F.coalesce("most_copies", F.lit(0)).alias("most_copies"),
