@@ -46,8 +46,8 @@ def orphan_references(references: DataFrame, targets: DataFrame, heavy_share: in
     refs = written(counted.withColumn("periodo", F.date_format("at", "yyyy-MM")), "references")
     per_key = refs.groupBy(*key, "periodo").agg(F.sum("n").alias("n"))
     sums = written(per_key.groupBy(*key).agg(F.sum("n").alias("n")), "reference-sums")
-    total = sums.agg(F.sum("n").alias("total"))
-    heavy = sums.crossJoin(F.broadcast(total)).where(F.col("n") * heavy_share >= F.col("total")).select(*key)  # total: one row
+    total = sums.agg(F.sum("n").alias("total")).first().total or 0
+    heavy = sums.where(F.col("n") * heavy_share >= total).select(*key)
     spans = (
         targets.where(F.col("ref").isNotNull())
         .groupBy(*key)

@@ -18,14 +18,13 @@ def not_known(rows: DataFrame, known: DataFrame, keys: dict[str, str]) -> DataFr
 def sharing(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_set: str, right_set: str, wild: object = None) -> DataFrame:
     """(left_id, right_id, comuns): pairs whose sets share an element, found by an equi-join on elements instead of all pairs.
 
-    An element ``wild`` on the left matches every right row (comuns is then null unless elements are shared). Null sets share nothing.
+    An element ``wild`` on the left matches every right row as well; comuns counts elements that are in both sets. Null sets share nothing.
     """
     a = left.select(F.col(left_id).alias("__l"), F.explode(F.array_distinct(left_set)).alias("__e"))
-    b = right.select(F.col(right_id).alias("__r"), F.explode(F.array_distinct(right_set)).alias("__e"))
-    pairs = a.join(b, "__e").groupBy("__l", "__r").agg(F.count(F.lit(1)).alias("comuns"))
+    b = right.select(F.col(right_id).alias("__r"), F.explode(F.array_distinct(right_set)).alias("__e"), F.lit(1).alias("__n"))
     if wild is not None:
-        every = a.where(F.col("__e") == F.lit(wild)).select("__l").distinct().crossJoin(right.select(F.col(right_id).alias("__r")).distinct())
-        pairs = pairs.unionByName(every.join(pairs.select("__l", "__r"), ["__l", "__r"], "left_anti").withColumn("comuns", F.lit(None).cast("bigint")))
+        b = b.unionByName(right.select(F.col(right_id).alias("__r"), F.lit(wild).alias("__e"), F.lit(0).alias("__n")))
+    pairs = a.join(b, "__e").groupBy("__l", "__r").agg(F.sum("__n").alias("comuns"))
     return pairs.select(F.col("__l").alias(left_id), F.col("__r").alias(right_id), "comuns")
 
 
