@@ -461,3 +461,67 @@ def quality_report(spark, root):
     checks = quality.required(["ementa", "comissao_atual"]) | {"url": ("erro", ~F.col("url_oficial").rlike("^https?://"))}
     ids = p.select("id").union(l.select("id")).union(table(spark, root, "atos").select("id"))
     return quality.report([quality.broken(p, "propositions", "id", checks), quality.repeated(l, "laws", ["id"]), quality.dangling(u, "updates", "item", ids, "id")])
+
+
+# --- reports
+
+
+@query(
+    f"WITH d AS (SELECT date_diff('day', DATE '{AS_OF}', try_cast(ultima_movimentacao.data AS DATE)) AS k FROM propositions) SELECT CASE WHEN k<0 THEN 'passado' WHEN k<=7 THEN 'ate 7 dias' WHEN k<=30 THEN 'ate 30 dias' ELSE 'sem janela' END AS janela, count(*) AS n FROM d GROUP BY 1"
+)
+def agenda_windows(spark, root):
+    w = dates.window_label(dates.valid_day(F.col("ultima_movimentacao.data")), AS_OF)
+    return table(spark, root, "propositions").groupBy(w.alias("janela")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "WITH e AS (SELECT unnest(['DON','AGDI','XXX']) AS orgao), n AS (SELECT orgao, count(*) AS n, max(primeira_deteccao) AS u FROM atos GROUP BY 1) SELECT e.orgao, coalesce(n.n,0) AS n, CASE WHEN n.n IS NULL THEN 'falha' ELSE 'ok' END AS status FROM e LEFT JOIN n USING (orgao)"
+)
+def expected_sources(spark, root):
+    expected = spark.createDataFrame([("DON",), ("AGDI",), ("XXX",)], "orgao string")
+    n = table(spark, root, "atos").groupBy("orgao").agg(F.count(F.lit(1)).alias("n"))
+    return expected.join(n, "orgao", "left").select("orgao", F.coalesce("n", F.lit(0)).alias("n"), F.when(F.col("n").isNull(), "falha").otherwise("ok").alias("status"))
+
+
+@query("WITH q AS (SELECT o_orderkey, o_totalprice, o_orderdate, count(*) OVER () - 25 AS adiados FROM orders WHERE o_orderstatus='O') SELECT o_orderkey, adiados FROM q ORDER BY o_totalprice DESC, o_orderdate, o_orderkey LIMIT 25")
+def queue_admission(spark, root):
+    q = table(spark, root, "orders").where("o_orderstatus = 'O'")
+    left = q.count() - 25
+    return q.orderBy(F.desc("o_totalprice"), "o_orderdate", "o_orderkey").limit(25).select("o_orderkey", F.lit(left).cast("bigint").alias("adiados"))
+
+
+@query("SELECT split_part(id,'_',1) AS casa, count(*) AS fichas, count(*) FILTER (WHERE ementa IS NULL) AS sem_ementa, count(*) FILTER (WHERE removida_em IS NOT NULL) AS removidas FROM propositions GROUP BY 1")
+def house_health(spark, root):
+    return table(spark, root, "propositions").groupBy(F.substring_index("id", "_", 1).alias("casa")).agg(
+        F.count(F.lit(1)).alias("fichas"), F.count_if(F.col("ementa").isNull()).alias("sem_ementa"), F.count_if(F.col("removida_em").isNotNull()).alias("removidas")
+    )
+
+
+@query("WITH r AS (SELECT orgao, registro, row_number() OVER (PARTITION BY orgao ORDER BY data DESC NULLS LAST, registro) AS n FROM atos) SELECT orgao, registro FROM r WHERE n<=5")
+def sample_items(spark, root):
+    w = Window.partitionBy("orgao").orderBy(F.col("data").desc_nulls_last(), "registro")
+    return table(spark, root, "atos").select("orgao", "registro", "data").withColumn("n", F.row_number().over(w)).where("n <= 5").select("orgao", "registro")
+
+
+@query(
+    "WITH f AS (SELECT unnest(list_filter([CASE WHEN value<5 THEN 'valor baixo' END, CASE WHEN event_type='error' THEN 'erro' END, CASE WHEN event_type='purchase' AND value>50 THEN 'compra alta' END], x -> x IS NOT NULL)) AS alerta FROM events) SELECT alerta, count(*) AS n FROM f GROUP BY 1".replace("x -> x IS NOT NULL", "lambda x: x IS NOT NULL")
+)
+def alert_rules(spark, root):
+    t, v = F.col("event_type"), F.col("value")
+    f = rules.flags({"valor baixo": v < 5, "erro": t == "error", "compra alta": (t == "purchase") & (v > 50)})
+    return table(spark, root, "events").select(F.explode(f).alias("alerta")).groupBy("alerta").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("WITH m AS (SELECT DISTINCT unnest(regexp_extract_all(coalesce(descricao,'') || ' ' || coalesce(titulo,''),'processo (\\d+/\\d{4})',1)) AS processo FROM atos) SELECT processo FROM m")
+def extracted_ids(spark, root):
+    both = F.concat_ws(" ", F.coalesce("descricao", F.lit("")), F.coalesce("titulo", F.lit("")))
+    return table(spark, root, "atos").select(F.explode(F.regexp_extract_all(both, F.lit(r"processo (\d+/\d{4})"), F.lit(1))).alias("processo")).distinct()
+
+
+@query(
+    "WITH t AS (SELECT DISTINCT unnest(regexp_extract_all(coalesce(ementa_sintese,'') || ' ' || coalesce(relacao_ia,''),'[A-Z]{2,4} \\d+/\\d{4}')) AS m FROM laws) SELECT id FROM propositions WHERE titulo NOT IN (SELECT m FROM t WHERE m IS NOT NULL)"
+)
+def not_mentioned(spark, root):
+    both = F.concat_ws(" ", F.coalesce("ementa_sintese", F.lit("")), F.coalesce("relacao_ia", F.lit("")))
+    named = table(spark, root, "laws").select(F.explode(F.regexp_extract_all(both, F.lit(r"[A-Z]{2,4} \d+/\d{4}"), F.lit(0))).alias("titulo")).distinct()
+    return table(spark, root, "propositions").join(named, "titulo", "left_anti").select("id")
