@@ -38,8 +38,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder, for a table written by one call."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, in the application's own part of it, for a table written by one call."""
+    return f"{_own_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _own_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/civicspark-{spark.sparkContext.applicationId}"
+
+
+def cleaned(spark: SparkSession) -> None:
+    """Delete the tables this application has written to the shared folder. Results still unread are read from there: call it last."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

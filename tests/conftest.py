@@ -10,11 +10,12 @@ DATA = os.environ.get("CIVICSPARK_TESTDATA", "/root/testdata/sf0.001")
 
 @pytest.fixture(scope="session")
 def spark():
-    from civicspark.session import build_session
+    from civicspark.session import build_session, cleaned
 
     s = build_session("local[4]", 4)
     s.sparkContext.setLogLevel("ERROR")
     yield s
+    cleaned(s)
     s.stop()
 
 
