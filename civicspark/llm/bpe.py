@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import heapq
 import json
 from collections.abc import Iterator
 
@@ -22,6 +23,10 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 #: Words kept encoded in one worker; beyond that the memory is emptied and filled again.
 CACHED_WORDS = 400_000
 
+#: Words of more bytes (scripts without blanks, pasted data) are contracted outside DuckDB by the same rule: the recursion keeps the rows of
+#: every round, so its memory would grow with the square of a word's length.
+LONG_WORD = 2_000
+
 #: What null and empty texts come out as.
 NO_TOKENS: list[int] = []
 
@@ -99,12 +104,46 @@ class Encoder:
         self.db.execute("CREATE TABLE merges AS SELECT * FROM rows_in")
         self.db.unregister("rows_in")
         self.known: dict[str, list[int]] = {}
+        self.rows = rows
+        self.pairs: dict[tuple[int, int], tuple[int, int]] | None = None
+
+    def contract(self, raw: bytes) -> list[int]:
+        """The tokens of one long word: pairs wait in a heap by rank and place, so the leftmost of least rank is contracted next."""
+        if self.pairs is None:
+            self.pairs = {(a, b): (rank, i) for a, b, rank, i in self.rows}
+        tok = self.first[np.frombuffer(raw, np.uint8)].tolist()
+        after, before = list(range(1, len(tok) + 1)), list(range(-1, len(tok) - 1))
+        heap: list[tuple[int, int, int, int, int]] = []
+
+        def wait(k: int) -> None:
+            j = after[k] if k >= 0 else len(tok)
+            if j < len(tok) and (found := self.pairs.get((tok[k], tok[j]))):
+                heapq.heappush(heap, (found[0], k, tok[k], tok[j], found[1]))
+
+        for k in range(len(tok) - 1):
+            wait(k)
+        while heap:
+            _, k, left, right, merged = heapq.heappop(heap)
+            j = after[k]
+            if tok[k] != left or j >= len(tok) or tok[j] != right:
+                continue  # one of the two was contracted meanwhile
+            tok[k], tok[j] = merged, -1
+            after[k] = after[j]
+            if after[k] < len(tok):
+                before[after[k]] = k
+            wait(before[k])
+            wait(k)
+        return [t for t in tok if t >= 0]
 
     def learn(self, words: list[str]) -> None:
         """Encode words not met before: their bytes as rows (word, pos, tok), contracted to the fixpoint."""
-        for at in range(0, len(words), 20_000):
-            some = words[at : at + 20_000]
-            raw = [w.encode() for w in some]
+        coded = [(w, w.encode()) for w in words]
+        for w, b in coded:
+            if len(b) > LONG_WORD:
+                self.known[w] = self.contract(b)
+        short = [x for x in coded if len(x[1]) <= LONG_WORD]
+        for at in range(0, len(short), 20_000):
+            some, raw = zip(*short[at : at + 20_000])
             n = np.array([len(b) for b in raw], dtype=np.int64)
             pos = (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)).astype(np.int32)
             rows = {"word": np.repeat(np.arange(len(raw), dtype=np.int32), n), "pos": pos, "tok": self.first[np.frombuffer(b"".join(raw), np.uint8)]}

@@ -30,6 +30,16 @@ def test_same_as_library(name):
         assert enc.decode(ids) == t
 
 
+def test_long_words():
+    r = random.Random(2)
+    enc = bpe.Encoder(P.path("byte_bpe_50k.json"))
+    ref = reference(P.path("byte_bpe_50k.tiktoken"))
+    for t in ("".join(r.choice("abcdefghijklmnop") for _ in range(30_000)), "".join(chr(r.randrange(0x4E00, 0x9FFF)) for _ in range(8_000)), "ab" * 5_000, "a" * 9_999):
+        assert enc.encode([t])[0] == ref.encode_ordinary(t)
+        short = t[:600]
+        assert enc.contract(short.encode()) == enc.encode([short])[0]
+
+
 def test_table(spark):
     rows = [(1, None, "x"), (2, "", "x"), (2, "abc", "x"), (None, "abc", "y")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, ids string")
