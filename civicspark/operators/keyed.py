@@ -34,14 +34,15 @@ def retained(rows: DataFrame, group: str, order: list[Column], newest: int, rece
     return top.where(~F.coalesce(recent, F.lit(False))).drop("__top").unionByName(rows.where(recent))
 
 
-def rotated(rows: DataFrame, order: list[Column], live: int) -> DataFrame:
-    """Rows with ``destino``: 'vivo' for the first ``live`` by order, 'arquivo' for the rest. The limit is found by a top-k, not by
-    ranking all rows in one task."""
-    edge = rows.orderBy(*order).limit(live).withColumn("destino", F.lit("vivo"))
-    cols = rows.columns
-    marked = edge.select(*cols, "destino")
-    rest = rows.join(marked.select(*[F.col(c).alias(f"__{c}") for c in cols[:1]]), F.col(cols[0]) == F.col(f"__{cols[0]}"), "left_anti")
-    return marked.unionByName(rest.withColumn("destino", F.lit("arquivo")))
+def rotated(rows: DataFrame, key: str, order: list[Column], live: int) -> DataFrame:
+    """Rows with ``destino``: 'vivo' for the first ``live`` by order, 'arquivo' for the rest.
+
+    ``key`` is unique; ``live`` is a small number. The live rows are found by a top-k, of which each task sends ``live`` at most, instead of
+    ranking all rows in one task; the rest is what an anti join on the key leaves.
+    """
+    first = rows.orderBy(*order).limit(live)
+    rest = rows.join(first.select(key), key, "left_anti").select(*rows.columns)
+    return first.withColumn("destino", F.lit("vivo")).unionByName(rest.withColumn("destino", F.lit("arquivo")))
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str], version: str) -> DataFrame:

@@ -189,7 +189,7 @@ def retention_topn(spark, root):
 @query("WITH r AS (SELECT update_id, row_number() OVER (ORDER BY data_deteccao DESC NULLS LAST, update_id DESC) AS n FROM updates) SELECT CASE WHEN n<=800 THEN 'vivo' ELSE 'arquivo' END AS destino, count(*) AS n, min(update_id) AS menor FROM r GROUP BY 1")
 def rotate_log(spark, root):
     u = table(spark, root, "updates").select("update_id", "data_deteccao")
-    r = keyed.rotated(u, [F.col("data_deteccao").desc_nulls_last(), F.col("update_id").desc()], 800)
+    r = keyed.rotated(u, "update_id", [F.col("data_deteccao").desc_nulls_last(), F.col("update_id").desc()], 800)
     return r.groupBy("destino").agg(F.count(F.lit(1)).alias("n"), F.min("update_id").alias("menor"))
 
 
