@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
+
 
 def not_known(rows: DataFrame, known: DataFrame, keys: dict[str, str]) -> DataFrame:
     """Rows without a partner among the known ones; nulls match nulls."""
@@ -34,32 +36,63 @@ def last_before(rows: DataFrame, by: str, order: list[Column | str], value: Colu
     return rows.withColumn(out, F.last(F.when(when, value), ignorenulls=True).over(w))
 
 
-def principals(nodes: DataFrame, id: str, parent: str, rounds: int = 30) -> DataFrame:
+def _ends(edge: DataFrame) -> DataFrame:
+    """(id, to, n, over) of (id, next): the end of each chain and the steps to it; where it runs into a circle, over is false."""
+    now = edge.select("id", F.coalesce("next", "id").alias("to"), F.col("next").isNotNull().cast("bigint").alias("n"), F.col("next").isNull().alias("over"))
+    left = None
+    while True:
+        on = now.select(F.col("id").alias("to"), F.col("to").alias("to2"), F.col("n").alias("n2"), F.col("over").alias("over2"))
+        now = written(now.join(on, "to").select("id", F.col("to2").alias("to"), (F.col("n") + F.col("n2")).alias("n"), F.col("over2").alias("over")), "chains")
+        going = now.where(~F.col("over")).count()
+        if going in (0, left):  # while a chain that ends goes on, each round brings one more to its end
+            return now
+        left = going
+
+
+def _circles(edge: DataFrame) -> DataFrame:
+    """(id, next, length) of the circles of (id, next), in which each node has a next one."""
+    now, size = edge.select("id", F.col("next").alias("to")), None
+    while True:
+        on = now.select(F.col("id").alias("to"), F.col("to").alias("to2"))
+        now = written(now.join(on, "to").select("id", F.col("to2").alias("to")), "chains")
+        reached = now.select("to").distinct().count()
+        if reached == size:  # what is reached gets no less: circles only
+            break
+        size = reached
+    own = written(edge.join(now.select(F.col("to").alias("id")).distinct(), "id", "left_semi"), "circles")
+    low = own.select("id", F.col("next").alias("to"), F.least("id", "next").alias("low"))
+    while True:
+        on = low.select(F.col("id").alias("to"), F.col("to").alias("to2"), F.col("low").alias("low2"))
+        step = low.join(on, "to").select("id", F.col("to2").alias("to"), F.least("low", "low2").alias("low"), (F.col("low2") < F.col("low")).alias("moved"))
+        step = written(step, "chains")
+        if step.where("moved").isEmpty():
+            break
+        low = step.drop("moved")
+    length = step.groupBy("low").agg(F.count(F.lit(1)).alias("length"))
+    return own.join(step.select("id", "low").join(length, "low").select("id", "length"), "id")
+
+
+def principals(nodes: DataFrame, id: str, parent: str) -> DataFrame:
     """(id, principal, passos): the end of each node's chain of parents. A parent that is unknown or the node itself ends the chain.
 
-    The chain doubles its step in each round, so a chain of n steps takes log2(n) joins. Nodes whose chain runs into a circle stop
-    before the first node they would visit again: of a circle every node is its own principal, and so are nodes leading into one only
-    after reaching it.
+    The chain doubles its step in each round, by a join of each node's pointer with the pointers of the same round, so a chain of n steps
+    takes log2(n) joins; it ends when nothing moves, whatever n. Nodes whose chain runs into a circle stop before the first node they
+    would visit again: the one before themselves on their circle, or before the one at which they reach it.
     """
     known = nodes.select(F.col(id).alias("id"), F.col(parent).alias("parent"))
     valid = known.join(known.select(F.col("id").alias("parent")), "parent", "left_semi").where("id <> parent")
-    edge = known.select("id").join(valid.select("id", "parent"), "id", "left")
-    now = edge.select("id", F.coalesce("parent", "id").alias("to"), F.col("parent").isNotNull().cast("bigint").alias("n"), F.array("id").alias("seen"))
-    hop = edge.select(F.col("id").alias("to"), F.col("parent").alias("next"))
-    for _ in range(rounds):
-        step = now.join(hop, "to", "left")
-        go = F.col("next").isNotNull() & ~F.array_contains(F.concat("seen", F.array("to")), F.col("next"))
-        new = step.select(
-            "id", F.when(go, F.col("next")).otherwise(F.col("to")).alias("to2"), F.when(go, F.col("n") + 1).otherwise(F.col("n")).alias("n2"), F.concat("seen", F.array("to")).alias("seen2"), go.alias("go")
-        )
-        new = new.select("id", F.col("to2").alias("to"), F.col("n2").alias("n"), F.col("seen2").alias("seen"), "go")
-        from ..session import written
-
-        new = written(new, "chains")
-        if new.where("go").isEmpty():
-            break
-        now = new.drop("go")
-    return new.select(F.col("id").alias(id), F.col("to").alias("principal"), F.col("n").alias("passos"))
+    edge = written(known.select("id").distinct().join(valid.select("id", F.col("parent").alias("next")).distinct(), "id", "left"), "edges")
+    ends = _ends(edge.where("id IS NOT NULL"))
+    found = ends.where("over").select("id", "to", "n").unionByName(edge.where("id IS NULL").select("id", F.col("id").alias("to"), F.lit(0).cast("bigint").alias("n")))
+    round_ = ends.where(~F.col("over")).select("id")
+    if not round_.isEmpty():
+        ring = written(edge.join(round_, "id", "left_semi"), "edges")
+        circles = written(_circles(ring), "circles")
+        enter = ring.join(circles.select("id", F.lit(True).alias("on")), "id", "left").select("id", F.when(F.col("on").isNull(), F.col("next")).alias("next"))
+        before = circles.select(F.col("next").alias("to"), F.col("id").alias("stop"), "length")
+        met = _ends(enter).join(before, "to").select("id", F.col("stop").alias("to"), (F.col("n") + F.col("length") - 1).alias("n"))
+        found = found.unionByName(met)
+    return found.select(F.col("id").alias(id), F.col("to").alias("principal"), F.col("n").alias("passos"))
 
 
 def matching(subs: DataFrame, changes: DataFrame) -> DataFrame:

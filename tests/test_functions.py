@@ -100,6 +100,20 @@ def test_relations(spark):
     assert got == {"a": "c", "b": "c", "c": "c", "x": "y", "y": "x", "s": "s", "u": "u"}
 
 
+def test_long_chains(spark):
+    up = {k: k - 1 for k in range(1, 101)} | {0: None}  # a chain of 100 steps
+    up |= {200 + k: 200 + (k + 1) % 40 for k in range(40)} | {300: 205, **{k: k - 1 for k in range(301, 340)}}  # a circle of 40 with a tail of 40
+    up |= {400: 401, 401: 402, 402: 400, 403: 400}
+    got = {x.id: (x.principal, x.passos) for x in relations.principals(spark.createDataFrame(list(up.items()), "id int, pai int"), "id", "pai").collect()}
+    want = {}
+    for k in up:
+        seen = [k]
+        while up[seen[-1]] is not None and up[seen[-1]] not in seen:
+            seen.append(up[seen[-1]])
+        want[k] = (seen[-1], len(seen) - 1)
+    assert got == want
+
+
 def test_measures(spark):
     e = spark.createDataFrame([("a", "2024-01-02")], "g string, d string")
     grid = measures.calendar_grid(e, F.col("d"), "2024-01-01", "2024-01-03").orderBy("dia").collect()
