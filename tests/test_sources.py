@@ -54,6 +54,22 @@ def test_http_source(spark, tmp_path):
     assert [x.corpo for x in r if x.corpo] == ["{}"] and sum(x.erro == "circuito aberto" for x in r) == 2 and len(r) == 5
 
 
+def test_http_cache(tmp_path):
+    url, body = f"file://{tmp_path}/a.json", tmp_path / "a.json"
+
+    def read(**o):
+        reader = http_source.HttpReader({"urls": json.dumps([url]), "pause": "0"} | o)
+        return [tuple(x)[:5] for p in reader.partitions() for x in reader.read(p)]
+
+    cache = f"{tmp_path}/cache"
+    assert read(cache=cache)[0][3] is not None  # an error is not kept
+    body.write_text("1")
+    assert read(cache=cache) == [(url, 200, "1", None, 1)]
+    body.write_text("2")
+    assert read(cache=cache) == [(url, 200, "1", None, 0)]
+    assert read(cache=cache, fresh="-1")[0][2] == "2" and read()[0][4] == 1
+
+
 def test_documents(spark, tmp_path):
     s = StructType([StructField("id", StringType())])
     (tmp_path / "d.json").write_text('{"meta": {}, "linhas": [{"id": "a"}, {"id": "b"}]}')
