@@ -29,11 +29,9 @@ def p3_shares(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, root: str) -> DataFrame:
-    """Acts that repeat the text of an earlier row, with the first row of it; the runs come as two consecutive batches."""
+    """Acts that repeat the text of an earlier row, with the first row of it; each run is a batch of its own."""
     rows = spread(table(spark, root, "atos").select("registro", "id_execucao_primeira", "titulo", "descricao"))
-    index = repeats.InvertedFile(spark)
-    found = [index.accept(b) for b in repeats.batches_of(rows, "id_execucao_primeira", "registro", 2)]
-    return found[0].unionByName(found[1]).selectExpr("root AS registro_a", "row AS registro_b")
+    return repeats.InvertedFile(spark).accept(rows, "id_execucao_primeira").selectExpr("root AS registro_a", "row AS registro_b")
 
 
 def p7_ids(spark: SparkSession, root: str) -> DataFrame:
