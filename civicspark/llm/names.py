@@ -5,23 +5,26 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shipped, written
 
-#: Slips (insert, delete, replace, two letters in each other's place) within which two family names may be one; the join finds all
-#: pairs within twice as many edits, since letters in each other's place are two edits.
+#: Slips (insert, delete, replace, two letters in each other's place) within which two family names, or two given names, may be one.
 SLIPS = 2
-RADIUS = 2 * SLIPS
 
 #: A part of a name found in more states than this is a common one: a given name, or a family name of many families.
 COMMON_STATES = 4
 
-#: Family names per cell aimed at, and pivots of one block at most; blocks and cells are cut into chunks of CHUNK names.
-PER_CELL, MOST_PIVOTS, CHUNK = 1500, 48, 1000
+#: Names of a block among which its pivots are looked for, about, pivots of a block at most, and names of a cell met in one task.
+SAMPLE, MOST_PIVOTS, CHUNK = 512, 128, 1000
+
+#: Longest part of a name that many_slips() takes; longer ones are judged one by one.
+LONGEST = 40
 
 #: Rounds in which names with less detail join the one person they fit.
 ROUNDS = 4
@@ -88,6 +91,7 @@ def edits(a: str, b: str, most: int) -> int:
     return row[-1]
 
 
+@lru_cache(maxsize=200_000)
 def slips(a: str, b: str, most: int) -> int:
     """Like edits(), but two letters in each other's place are one slip (unrestricted Damerau-Levenshtein, a metric)."""
     if abs(len(a) - len(b)) > most:
@@ -110,11 +114,53 @@ def slips(a: str, b: str, most: int) -> int:
     return d[len(a) + 1][len(b) + 1]
 
 
+def many_slips(a: list[str], b: list[str]) -> np.ndarray:
+    """slips() of many pairs of parts at once, without a limit."""
+    out = np.zeros(len(a), np.int64)
+    long = [i for i in range(len(a)) if max(len(a[i]), len(b[i])) > LONGEST]
+    for i in long:
+        out[i] = slips(a[i], b[i], len(a[i]) + len(b[i]))
+    rest = np.setdiff1d(np.arange(len(a)), long)
+    for at in range(0, len(rest), 5000):
+        some = rest[at : at + 5000]
+        out[some] = _table_slips([a[i] for i in some], [b[i] for i in some])
+    return out
+
+
+def _table_slips(a: list[str], b: list[str]) -> np.ndarray:
+    n, ar = len(a), np.arange(len(a))
+    la, lb = (np.array([len(x) for x in s]) for s in (a, b))
+
+    def codes(words: list[str], width: int) -> np.ndarray:
+        out = np.zeros((n, width), np.int64)
+        for i, w in enumerate(words):
+            out[i, : len(w)] = [ord(c) - 96 if "a" <= c <= "z" else 27 for c in w]
+        return out
+
+    x, y = codes(a, la.max()), codes(b, lb.max())
+    far = (la + lb).astype(np.int16)
+    d = np.empty((x.shape[1] + 2, y.shape[1] + 2, n), np.int16)
+    d[0], d[:, 0] = far, far
+    d[1:, 1] = np.arange(x.shape[1] + 1)[:, None]
+    d[1, 1:] = np.arange(y.shape[1] + 1)[:, None]
+    last = np.zeros((n, 28), np.int64)
+    for i in range(1, x.shape[1] + 1):
+        match = np.zeros(n, np.int64)
+        for j in range(1, y.shape[1] + 1):
+            k, same = last[ar, y[:, j - 1]], x[:, i - 1] == y[:, j - 1]
+            swapped = d[k, match, ar] + i - k + j - match - 1
+            d[i + 1, j + 1] = np.minimum(np.minimum(d[i, j] + ~same, swapped), np.minimum(d[i + 1, j], d[i, j + 1]) + 1)
+            match = np.where(same, j, match)
+        last[ar, x[:, i - 1]] = i
+    return d[la + 1, lb + 1, ar]
+
+
 def _allowed(a: str, b: str) -> int:
     n = min(len(a), len(b))
     return 0 if n < 4 else 1 if n < 7 else 2
 
 
+@lru_cache(maxsize=200_000)
 def same_given(a: str, b: str) -> bool:
     """Whether two given names may be one: equal, an initial of the other, a pet name of it, or a slip or two away."""
     if a == b:
@@ -186,57 +232,109 @@ def _readings(parts: list[str], kinds: str) -> list[tuple[int, list[int]]]:
     return out
 
 
-def _initials(given: str) -> set[str]:
-    return {given[0], *(x[0] for x in PET_NAMES.get(given, ()))}
-
-
 def placed_keys(nodes: DataFrame) -> DataFrame:
-    """(state, initial, family, node): where a name can stand in the metric space, for each way to read it."""
+    """(state, initial, kind, family, given, node): the places of a name in the metric space, for each way to read it.
+
+    A full given name stands (kind 'f') with itself and the names it is short for, each under its own initial. Names with an initial only ('o') meet all
+    of that initial, which stand there without their given name ('i') and don't meet one another; names without a given name ('n') meet their like.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
+            rows = set()
             for i, (parts, kinds) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist())):
                 for f, given in _readings(parts, kinds):
-                    rows += [(i, x, parts[f]) for x in (_initials(parts[given[0]]) if given else {""})]
+                    g = parts[given[0]] if given else ""
+                    if len(g) < 2:
+                        rows.add((i, g, "o" if g else "n", parts[f], ""))
+                        continue
+                    for form in {g, *PET_NAMES.get(g, ())}:
+                        rows |= {(i, form[0], "f", parts[f], form), (i, form[0], "i", parts[f], "")}
+            rows = sorted(rows)
             take = pa.array([r[0] for r in rows], pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(take), b.column(1).take(take), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.string())], names=["node", "state", "initial", "family"]
-            )
+            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), *[pa.array([r[k] for r in rows], pa.string()) for k in (1, 2, 3, 4)]], names=["node", "state", "initial", "kind", "family", "given"])
 
-    return nodes.select("node", "state", "parts", "kinds").mapInArrow(run, "node bigint, state string, initial string, family string").distinct()
+    return nodes.select("node", "state", "parts", "kinds").mapInArrow(run, "node bigint, state string, initial string, kind string, family string, given string").distinct()
 
 
-def radius_pairs(objects: DataFrame, key: list[str], text: str, radius: int = RADIUS) -> DataFrame:
-    """(*key, a, b): all pairs of texts of one block within ``radius`` edits, and each text with itself.
+def _distances(xs: list[tuple[str, str]], ys: list[tuple[str, str]]) -> np.ndarray:
+    """The greater of the slips between the first parts and those between the second ones: a metric, as the greater of two metrics is one."""
+    return np.maximum(*[many_slips([x[k] for x in xs], [y[k] for y in ys]) for k in (0, 1)])
+
+
+def pivots_of(names: list[tuple[str, str]], radius: int) -> list[tuple[str, str]]:
+    """Names of which no two are within twice the radius of one another, as many as there are in this order, MOST_PIVOTS at most."""
+    out: list[tuple[str, str]] = []
+    for x in names:
+        if len(out) < MOST_PIVOTS and (not out or _distances([x] * len(out), out).min() > 2 * radius):
+            out.append(x)
+    return out
 
-    Blocks are infinitely far from one another. A block of many texts gets pivots (its texts of least hash); each text goes to the
-    cell of its nearest pivot, and is copied to every lower cell whose pivot is at most 2 * radius farther than the nearest: by the
-    triangle inequality two texts within the radius then share the lower of their cells. Cells are joined exactly, in chunks of
-    bounded size, with the Levenshtein distance. Nothing is left out, whatever the sizes.
+
+def celled(objects: DataFrame, key: list[str], radius: int = SLIPS) -> DataFrame:
+    """(*key, family, given, cell, core): each name in the cell of its nearest pivot (core), and copied to every lower cell that can hold a name within the radius.
+
+    Blocks of one key are infinitely far from one another. The pivots of a block are names of a sample of about SAMPLE (drawn by hash) that lie apart. Two names within the radius
+    have distances to any pivot that differ by the radius at most, so a name is copied
+    to the lower cells whose pivot is at most 2 * radius farther than its nearest: two near names share the lower of their cells, and no other as one's own.
     """
-    distinct = objects.select(*key, F.col(text).alias("x")).where("x IS NOT NULL").distinct()
+    distinct = objects.select(*key, "family", "given").distinct()
     sizes = distinct.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
-    by_hash = Window.partitionBy(*key).orderBy(F.xxhash64("x"), "x")
-    wanted = F.least(F.ceil(F.col("n") / PER_CELL), F.lit(MOST_PIVOTS)).cast("int")
-    big = sizes.where(F.col("n") > PER_CELL).select(*key, wanted.alias("m"))
-    ranked = distinct.join(big, key).withColumn("r", F.row_number().over(by_hash)).where(F.col("r") <= F.col("m"))
-    pivots = ranked.groupBy(*key).agg(F.array_sort(F.collect_list("x")).alias("pivots"))  # MOST_PIVOTS at most
-    far = F.transform("pivots", lambda p: F.levenshtein(F.col("x"), p))
-    near = distinct.join(pivots, key, "left").withColumn("far", F.coalesce(far, F.array(F.lit(0)))).drop("pivots")
-    near = near.withColumn("least", F.array_min("far")).withColumn("own", F.array_position("far", F.col("least")).cast("int"))
-    cells = F.filter(
-        F.sequence(F.lit(1), F.col("own")), lambda k: (k == F.col("own")) | (F.element_at("far", k) <= F.col("least") + 2 * radius)
-    )
-    placed = near.select(*key, "x", "own", F.explode(cells).alias("cell")).select(*key, "x", "cell", (F.col("cell") == F.col("own")).alias("core"))
+    drawn = distinct.join(sizes, key).where(F.pmod(F.xxhash64("family", "given"), F.col("n")) < SAMPLE)
+    samples = drawn.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct(F.xxhash64("given", "family").alias("h"), "family", "given"))).alias("sample"))
+    schema = ", ".join(f"{k} string" for k in key)
+
+    def picked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [pivots_of([(r["family"], r["given"]) for r in names], radius) for names in b.column(len(key)).to_pylist()]
+            held = pa.array([[{"family": f, "given": g} for f, g in p] for p in found], pa.list_(pa.struct([("family", pa.string()), ("given", pa.string())])))
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(key)], held], names=[*key, "pivots"])
+
+    pivots = samples.mapInArrow(picked, schema + ", pivots array<struct<family:string,given:string>>")
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 1000):
+                part = b.slice(at, 1000)
+                names = list(zip(part.column(len(key)).to_pylist(), part.column(len(key) + 1).to_pylist()))
+                theirs = [[(p["family"], p["given"]) for p in ps] if ps else [("", "")] for ps in part.column(len(key) + 2).to_pylist()]  # none drawn: one cell
+                owner = np.repeat(np.arange(len(names)), [len(p) for p in theirs])
+                far = _distances([names[i] for i in owner], [p for ps in theirs for p in ps])
+                rows = []
+                for i, d in enumerate(np.split(far, np.cumsum([len(p) for p in theirs])[:-1])):
+                    own = int(d.argmin())
+                    rows += [(i, int(c), c == own) for c in np.flatnonzero(d[: own + 1] <= d[own] + 2 * radius)]
+                take = pa.array([r[0] for r in rows], pa.int32())
+                yield pa.RecordBatch.from_arrays([*[c.take(take) for c in part.columns[: len(key) + 2]], pa.array([r[1] for r in rows], pa.int32()), pa.array([bool(r[2]) for r in rows], pa.bool_())], names=[*key, "family", "given", "cell", "core"])
+
+    return distinct.join(pivots, key, "left").select(*key, "family", "given", "pivots").mapInArrow(placed, schema + ", family string, given string, cell int, core boolean")
+
+
+def radius_pairs(objects: DataFrame, key: list[str], radius: int = SLIPS) -> DataFrame:
+    """(*key, family_a, given_a, family_b, given_b): all pairs of names (family, given) of one block within ``radius`` slips in both parts, and each name with itself.
+
+    Names meet in the cells of celled(), its own names with all that lie in it, in chunks of bounded size. Spark's Levenshtein distance is at most twice the slips and leaves out
+    most pairs; slips decide on the rest. Nothing is left out, whatever the sizes.
+    """
+    placed = written(celled(objects, key, radius), "name-cells")
     chunks = placed.groupBy(*key, "cell").agg(F.ceil(F.count_if("core") / CHUNK).cast("int").alias("chunks"))
     placed = placed.join(chunks, [*key, "cell"]).where("chunks > 0")
-    left = placed.where("core").select(*key, "cell", F.pmod(F.xxhash64("x"), F.col("chunks")).cast("int").alias("chunk"), F.col("x").alias("a"))
-    right = placed.select(*key, "cell", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.col("x").alias("b"), "core")
-    close = (F.abs(F.length("a") - F.length("b")) <= radius) & (F.levenshtein("a", "b", radius) >= 0)
-    once = (~F.col("core")) | (F.col("a") <= F.col("b"))
-    found = left.join(right.hint("merge"), [*key, "cell", "chunk"]).where(once & close)
-    return found.select(*key, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    chunk = F.pmod(F.xxhash64("family", "given"), F.col("chunks")).cast("int")
+    left = placed.where("core").select(*key, "cell", chunk.alias("chunk"), F.col("family").alias("family_a"), F.col("given").alias("given_a"))
+    right = placed.select(*key, "cell", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.col("family").alias("family_b"), F.col("given").alias("given_b"), "core")
+    close = lambda c: (F.abs(F.length(f"{c}_a") - F.length(f"{c}_b")) <= radius) & (F.levenshtein(f"{c}_a", f"{c}_b", 2 * radius) >= 0)
+    once = (~F.col("core")) | (F.struct("family_a", "given_a") <= F.struct("family_b", "given_b"))
+    met = left.join(right.hint("merge"), [*key, "cell", "chunk"]).where(once & close("family") & close("given"))
+    cols = ["family_a", "given_a", "family_b", "given_b"]
+
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fa, ga, fb, gb = (b.column(len(key) + k).to_pylist() for k in range(4))
+            if fa:
+                yield b.filter(pa.array(_distances(list(zip(fa, ga)), list(zip(fb, gb))) <= radius))
+
+    schema = ", ".join(f"{k} string" for k in [*key, *cols])
+    return met.select(*key, *cols).mapInArrow(judged, schema)
 
 
 def _judged(pa_: list[str], ka: str, pb: list[str], kb: str) -> str | None:
@@ -361,10 +459,29 @@ def merged(nodes: DataFrame, verdicts: DataFrame) -> DataFrame:
     return labels.join(turned, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
 
 
+def _met(places: DataFrame) -> DataFrame:
+    """(a, b): the pairs of nodes with places within the radius. A common family name is split by given names; who has an initial only meets all of that initial,
+    but these don't meet one another there."""
+    group = F.when(F.col("kind").isin("o", "i"), "i").otherwise(F.col("kind"))
+    places = places.withColumn("block", group)
+    key = ["state", "initial", "block"]
+    close = written(radius_pairs(places, key), "close-names")
+    side = lambda s, n: places.select(*key, F.col("family").alias(f"family_{s}"), F.col("given").alias(f"given_{s}"), F.col("node").alias(n), F.col("kind").alias(f"kind_{n}"))
+    one, two = side("a", "m"), side("b", "n")
+    found = []
+    for left, right in (("o", "o"), ("o", "i"), ("i", "o"), ("f", "f"), ("n", "n")):  # never i with i
+        of = close.where(F.col("block") == ("i" if "o" in (left, right) else left))
+        found.append(of.join(one.where(F.col("kind_m") == left), [*key, "family_a", "given_a"]).join(two.where(F.col("kind_n") == right), [*key, "family_b", "given_b"]).select("m", "n"))
+    both = found[0]
+    for f in found[1:]:
+        both = both.unionByName(f)
+    return both.where("m <> n").select(F.least("m", "n").alias("a"), F.greatest("m", "n").alias("b")).distinct()
+
+
 def persons(rows: DataFrame, id: str = "id", name: str = "nome", state: str = "estado", group: str = "partido") -> DataFrame:
     """(id, person): the records with the number of the person they name.
 
-    Distinct normalised names of one state are nodes. Their family names, in blocks of one state and first initial, meet in radius_pairs(); the
+    Distinct normalised names of one state are nodes. They meet by family and given name, in blocks of one state and first initial, in radius_pairs(); the
     nodes behind are judged in pairs and merged. A null state fits every state; a null or letterless name is left out, names nobody.
     Second deliveries of a row count once; an id with two names belongs to both persons.
     """
@@ -375,14 +492,11 @@ def persons(rows: DataFrame, id: str = "id", name: str = "nome", state: str = "e
     nodes = written(with_kinds(nodes), "name-nodes")
     keys = written(placed_keys(nodes), "name-keys")
     states = keys.where("state IS NOT NULL").select("state", "initial").distinct()
+    place = ["initial", "kind", "family", "given"]
     nowhere = keys.where("state IS NULL").drop("state")
-    spread = nowhere.join(states, "initial").select("node", "state", "initial", "family").unionByName(nowhere.withColumn("state", F.lit("")).select("node", "state", "initial", "family"))
-    spread = spread.unionByName(keys.where("state IS NOT NULL").select("node", "state", "initial", "family"))
-    block = ["state", "initial"]
-    close = written(radius_pairs(spread, block, "family"), "family-pairs")
-    one = spread.select(*block, F.col("family").alias("a"), F.col("node").alias("m"))
-    two = spread.select(*block, F.col("family").alias("b"), F.col("node").alias("n"))
-    pairs = close.join(one, [*block, "a"]).join(two, [*block, "b"]).where("m <> n").select(F.least("m", "n").alias("a"), F.greatest("m", "n").alias("b")).distinct()
+    spread = nowhere.join(states, "initial").select("node", "state", *place).unionByName(nowhere.withColumn("state", F.lit("")).select("node", "state", *place))
+    spread = written(spread.unionByName(keys.where("state IS NOT NULL").select("node", "state", *place)), "name-places")
+    pairs = written(_met(spread), "name-pairs")
     verdicts = written(judged_pairs(pairs, nodes), "name-verdicts")
     return read.select("id", "node").join(merged(nodes, verdicts), "node").select("id", F.col("label").alias("person")).distinct()
 

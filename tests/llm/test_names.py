@@ -7,25 +7,44 @@ import pytest
 from civicspark.llm import names
 
 
-def plain_edits(a, b):
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        above, row = row, [i]
-        for j, y in enumerate(b, 1):
-            row.append(min(row[-1] + 1, above[j] + 1, above[j - 1] + (x != y)))
-    return row[-1]
-
-
-@pytest.mark.parametrize("per_cell, chunk", [(1000, 1000), (20, 7)])
-def test_radius_join_is_exact(spark, monkeypatch, per_cell, chunk):
-    monkeypatch.setattr(names, "PER_CELL", per_cell)
-    monkeypatch.setattr(names, "CHUNK", chunk)
+@pytest.mark.parametrize("most, chunk, sample", [(128, 1000, 512), (3, 7, 20), (1, 5, 1)])
+def test_radius_join_is_exact(spark, monkeypatch, most, chunk, sample):
+    for k, v in {"MOST_PIVOTS": most, "CHUNK": chunk, "SAMPLE": sample}.items():
+        monkeypatch.setattr(names, k, v)
     r = random.Random(2)
-    texts = {"".join(r.choice(["ba", "do", "ri", "so", "x"]) for _ in range(r.randint(2, 4))) for _ in range(250)} | {"", "a" * 500}
-    df = spark.createDataFrame([(b, t) for t in texts for b in (["s", "t"] if len(t) < 6 else ["s"])] + [("s", None)], "state string, x string")
-    got = {tuple(p) for p in names.radius_pairs(df.withColumnRenamed("x", "name"), ["state"], "name", 2).collect()}
-    want = {(s, min(a, b), max(a, b)) for s in "st" for a in texts for b in texts if a <= b and (s == "s" or (len(a) < 6 and len(b) < 6)) and plain_edits(a, b) <= 2}
-    assert got == want
+    word = lambda n: "".join(r.choice(["ba", "do", "ri", "so", "x"]) for _ in range(n))
+    texts = {(word(r.randint(2, 4)), word(r.randint(0, 2))) for _ in range(160)} | {("", ""), ("a" * 500, "x"), ("a" * 499, "")}
+    df = spark.createDataFrame([(b, *t) for t in texts for b in (["s", "t"] if len(t[0]) < 6 else ["s"])], "state string, family string, given string")
+    got = [tuple(p) for p in names.radius_pairs(df, ["state"], 2).collect()]
+    near = lambda a, b: max(names.slips(a[0], b[0], 2), names.slips(a[1], b[1], 2)) <= 2
+    want = {(s, *min(a, b), *max(a, b)) for s in "st" for a in texts for b in texts if a <= b and (s == "s" or (len(a[0]) < 6 and len(b[0]) < 6)) and near(a, b)}
+    assert {(s, *min(x[:2], x[2:]), *max(x[:2], x[2:])) for s, *x in ((g[0], *g[1:]) for g in got)} == want
+    assert len(got) == len(want)
+
+
+def test_many_slips_are_slips():
+    r = random.Random(5)
+    words = ["".join(r.choice("abcd") for _ in range(r.randint(0, 9))) for _ in range(300)] + ["é1", "x" * 45]
+    a, b = [r.choice(words) for _ in range(3000)], [r.choice(words) for _ in range(3000)]
+    assert names.many_slips(a, b).tolist() == [names.slips(x, y, 99) for x, y in zip(a, b)]
+    assert names.many_slips([], []).tolist() == []
+
+
+def test_pivots_are_few_and_names_seldom_copied(spark):
+    r = random.Random(9)
+    rows = [("s", "".join(r.choice(["ba", "do", "ri", "so", "xe", "lu", "mi", "to"]) for _ in range(5)), "ana") for _ in range(60)]
+    rows += [(s, f[:3] + "q" + f[4:], g) for s, f, g in rows for _ in range(3)]
+    got = names.celled(spark.createDataFrame(rows, "state string, family string, given string"), ["state"])
+    assert got.where("core").count() == len(set(rows)) and got.count() < 3 * len(set(rows))
+    assert got.select("cell").distinct().count() > 20
+
+
+def test_common_family_name_is_split(spark):
+    given = ["".join(x) for x in __import__("itertools").product("aei", "bdl", "aou", "rst", "ao")]
+    places = spark.createDataFrame([(k, "PA", "z", "f", "souza", f"z{g}{g[::-1]}") for k, g in enumerate(given)], "node bigint, state string, initial string, kind string, family string, given string")
+    got = {tuple(r) for r in names._met(places).collect()}
+    want = {(a, b) for a in range(len(given)) for b in range(a + 1, len(given)) if names.slips(f"z{given[a]}{given[a][::-1]}", f"z{given[b]}{given[b][::-1]}", 2) <= 2}
+    assert got == want and len(want) < len(given) * (len(given) - 1) / 2
 
 
 @pytest.mark.parametrize("a, b, d", [("abcd", "abdc", 1), ("abcd", "abcd", 0), ("", "ab", 2), ("ca", "abc", 2), ("gatoneceira", "gstonecera", 2)])
