@@ -32,7 +32,7 @@ def test_many_slips_are_slips():
 
 def test_pivots_are_few_and_names_seldom_copied(spark):
     r = random.Random(9)
-    rows = [("s", "".join(r.choice(["ba", "do", "ri", "so", "xe", "lu", "mi", "to"]) for _ in range(5)), "ana") for _ in range(60)]
+    rows = [("s", "".join(r.choice(["ba", "do", "ri", "so", "xe", "lu", "mi", "to"]) for _ in range(8)), "ana") for _ in range(60)]
     rows += [(s, f[:3] + "q" + f[4:], g) for s, f, g in rows for _ in range(3)]
     got = names.celled(spark.createDataFrame(rows, "state string, family string, given string"), ["state"])
     assert got.where("core").count() == len(set(rows)) and got.count() < 3 * len(set(rows))
