@@ -33,7 +33,9 @@ _ELLIPSIS = re.compile(r"(?:…|\.{3,}|\[\s*(?:…|\.{3,})\s*\]|\(\s*(?:…|\.{3
 _BEHIND = re.compile(r"(?:\([^()]{1,80}\)|·[^·.!?]{1,60}|(?:[^\W\d_][\w ]{0,25}:\s*)?https?://\S*|\[[^\[\]]{1,80}\])$")
 _ENDED = re.compile(r"[.!?…][\"'”’»)\]]*$")
 _TOKEN = re.compile(r"[^\W\d_]+(?:[-'’][^\W\d_]+)*|\d+|[.!?…]|[,;:—–]")
-_OPENING = re.compile(r"[\"(\[{“«]")
+_STOPPED_NOTE = re.compile(r"(?:\[\s*(?:…|\.{3})\s*\]|\(\s*(?:…|\.{3}|continua[^()]{0,40})\s*\))\s*\.?$", re.I)
+_SHORT = re.compile(r"(?:^|[\s(])(?:arts?|nº|n|inc|al|fls?)\.$", re.I)
+_OPENING = re.compile(r"[\"(\[{“«<]")
 _OMITTING, _BRACKETS, _MARKS, _CUT_BYTES = frozenset("….])"), frozenset(")]"), frozenset(".!?…\"'”’»)]"), frozenset("\ufffdÃÂâ€")
 _ANY = re.compile(r"\w")
 _YEAR = re.compile(r"\d/\d{4}$")
@@ -46,16 +48,56 @@ def _plain(raw: str) -> str:
     return (html.unescape(raw) if "&" in raw else raw).rstrip()
 
 
+#: What the automaton reads: a tag, an entity, an opening or closing mark.
+_MARK = re.compile(r"<(?P<end>/?)(?P<tag>[A-Za-z][A-Za-z0-9]*)(?:\s[^<>]*)?(?P<self>/?)>|&(?:#x?[0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,30});|(?P<open>[(\[{“«])|(?P<close>[)\]}”»])|(?P<quote>\")")
+
+#: Elements of HTML that are never closed, and those whose closing mark may be left out.
+VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+UNCLOSED = frozenset("p li dt dd tr td th option body html head tbody thead".split())
+
+
+def unclosed(raw: str) -> list[str]:
+    """The stack a value leaves behind: its quotes, brackets and elements that are opened and never closed, in order.
+
+    The automaton reads the whole value. A closing bracket takes the last open one of its kind, with the brackets inside it, and is passed over if there is none (lists: "a)");
+    a closing tag takes the last open element of its name and what was opened inside it; a straight quote closes an open one and opens one otherwise.
+    """
+    stack: list[str] = []
+    for m in _MARK.finditer(raw):
+        kind = m.lastgroup
+        if m["tag"]:
+            name = "<" + m["tag"].lower()
+            if m["end"]:
+                if name in stack:
+                    del stack[len(stack) - 1 - stack[::-1].index(name) :]
+            elif not m["self"] and name[1:] not in VOID:
+                stack.append(name)
+        elif kind == "open":
+            stack.append(m["open"])
+        elif kind == "close":
+            mate = _CLOSING[m["close"]]
+            for k in range(len(stack) - 1, -1, -1):
+                if stack[k][0] == "<":
+                    break
+                if stack[k] == mate:
+                    del stack[k:]
+                    break
+        elif kind == "quote":
+            if '"' in stack:
+                del stack[len(stack) - 1 - stack[::-1].index('"') :]
+            else:
+                stack.append('"')
+    return [x for x in stack if x[1:] not in UNCLOSED or x[0] != "<"]
+
+
 def read_end(value: str) -> tuple[str, str | None]:
     """(text, sign): the value without markup and without what was put behind its text, and the sign of a cut, if one shows.
 
     The signs are 'markup', 'entity', 'bytes' (a tag, entity, escape or multibyte letter that breaks off), 'ellipsis' (a mark of
-    omission as the last of the text; inside closed brackets or quotes it is none) and 'open' (a bracket or quote never closed in a
-    text without an end mark).
+    omission as the last of the text; inside closed brackets or quotes it is none), 'open' (the automaton ends with a bracket, quote or element never closed)
+    and 'short' (the last word before a full stop is one that goes on with a number or a name: "art.", "nº.").
     """
     raw = value.rstrip()
-    if raw[-1:] in (".", "!", "?") and raw[-2:-1] not in (".", "…"):
-        return _plain(raw), None
     sign = None
     if raw.rfind("<") > raw.rfind(">") and (m := _BROKEN_TAG.search(raw, raw.rfind("<"))):
         raw, sign = raw[: m.start()].rstrip(), "markup"
@@ -66,30 +108,21 @@ def read_end(value: str) -> tuple[str, str | None]:
     text = _plain(raw)
     while True:
         last = text[-1:]
-        if sign is None and last in _OMITTING and (m := _ELLIPSIS.search(text, max(0, len(text) - 20))):
-            return text[: m.start()].rstrip(), "ellipsis"
+        if sign is None and last in _OMITTING:
+            if m := _ELLIPSIS.search(text, max(0, len(text) - 20)):
+                return text[: m.start()].rstrip(), "ellipsis"
+            if m := _STOPPED_NOTE.search(text, max(0, len(text) - 90)):  # a note behind the cut that closes with a stop
+                return text[: m.start()].rstrip(), "ellipsis"
         if last in _MARKS and _ENDED.search(text, max(0, len(text) - 20)):
             break
         if not (last in _BRACKETS or "·" in text[-62:] or "://" in text[-2000:]) or not (m := _BEHIND.search(text)):
             break
         text = text[: m.start()].rstrip()
-    return text, sign or ("open" if not _ENDED.search(text, max(0, len(text) - 20)) and _left_open(text) else None)
-
-
-def _left_open(text: str) -> bool:
-    """Stack automaton over brackets and quotes; a closing mark without its opening one is passed over (lists: "a)")."""
-    if not _OPENING.search(text):
-        return False
-    if text.count('"') % 2:
-        return True
-    stack: list[str] = []
-    for c in re.findall(r"[()\[\]{}“”«»]", text):
-        if c in _CLOSING:
-            if stack and stack[-1] == _CLOSING[c]:
-                stack.pop()
-        else:
-            stack.append(c)
-    return bool(stack)
+    if sign is None and _OPENING.search(raw) and unclosed(raw):
+        sign = "open"
+    if sign is None and text[-1:] == "." and _SHORT.search(text, max(0, len(text) - 12)):
+        sign = "short"
+    return text, sign
 
 
 def _tokens(text: str) -> list[str]:
@@ -210,7 +243,7 @@ def endings(values: DataFrame, text: str, title: str) -> np.ndarray:
 
     rows = values.select(F.col(text).alias("d"), F.col(title).alias("t")).mapInArrow(run, "bucket bigint, ends bigint, goes bigint")
     got = rows.groupBy("bucket").agg(F.sum("ends").alias("ends"), F.sum("goes").alias("goes")).toPandas()
-    out = np.zeros((BUCKETS, 2), np.int32)
+    out = np.zeros((BUCKETS, 2), np.int64)
     if len(got):
         out[got["bucket"].to_numpy()] = got[["ends", "goes"]].to_numpy()
     return out

@@ -26,12 +26,19 @@ def text(r, n):
         ("Texto completo.", None), ("Texto completo", None), ("O voto [...]", "ellipsis"), ("O voto…", "ellipsis"), ("O voto...", "ellipsis"), ("Ele disse \"vamos ver…\"", None), ("Fim. (ver o item 3...)", None),
         ("A [...] b. Fim.", None), ("Texto com <br", "markup"), ("Texto com </", "markup"), ("conte&ccedi", "entity"), ("informaç�", "bytes"), ("Em caráter (processo 12", "open"), ("Disse \"vamos", "open"),
         ("Fim. Leia mais: https://x.br/n/1", None), ("<p>Fim.</p>", None), ("a) primeiro item", None), ("Texto corta… · Gabinete", "ellipsis"), (" ", None), ("x" * 300_000, None),
+        ('O texto "abre aspas e não fecha. Fim parcial.', "open"), ("A lei (art. 5 diz que tudo. O resto.", "open"), ("<p>Um parágrafo <b>forte. Mais texto.", "open"), ("<p>Um <b>forte</b>.<br>Fim.", None), ("a [b (c] d. Fim.", None),
+        ("Conforme o art.", "short"), ("Texto longo [...].", "ellipsis"), ("Texto longo (continua).", "ellipsis"), ("(" * 50_000 + ")" * 50_000 + ".", None), ("a < b & c > d.", None),
     ],
 )
 def test_signs(value, sign):
     assert truncation.read_end(value)[1] == sign
 
 
+def test_the_automaton_keeps_what_is_open():
+    assert truncation.unclosed('<div>"a (b [c] d" (e <i>f') == ["<div", "(", "<i"]
+    assert truncation.unclosed("b) c] &amp; <br/> <p>x") == []
+
+
 def rows():
     r = random.Random(9)
     out, cut = [], set()
