@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import shipped
+from ..session import shipped, written
 
 #: The languages told apart, and fixed values: their three-letter codes.
 LANGUAGES = ("pt", "es", "en", "fr", "it", "de")
@@ -129,10 +129,15 @@ def plain_label(label: str | None) -> str | None:
 
 def _scores(model: np.ndarray, pieces: list[str]) -> np.ndarray:
     """Log-likelihood of each piece in each language."""
-    out = np.zeros((len(pieces), len(LANGUAGES)))
-    bucket, owner = gram_buckets(pieces)
-    for k in range(len(LANGUAGES)):
-        out[:, k] = np.bincount(owner, weights=model[bucket, k], minlength=len(pieces))
+    return _scores_of(model, *gram_buckets(pieces), len(pieces))
+
+
+def _scores_of(model: np.ndarray, bucket: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """The sums of the rows of the model by piece; the buckets of a piece stand one behind the other."""
+    out = np.zeros((n, len(LANGUAGES)))
+    if len(bucket):
+        starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+        out[owner[starts]] = np.add.reduceat(model[bucket], starts, axis=0, dtype=np.float64)
     return out * EVIDENCE
 
 
@@ -175,12 +180,25 @@ def language_set(scores: np.ndarray) -> tuple[list[int], np.ndarray, np.ndarray]
     return among, share, of
 
 
-def _pieces(texts: list[str | None]) -> tuple[list[list[tuple[int, int, str]]], list[str]]:
-    cut = [stretches(t) if t else [] for t in texts]
-    return cut, [p for c in cut for _, _, p in c]
+def parsed(docs: DataFrame, id: str = "doc_id", text: str = "text", label: str = "lang") -> DataFrame:
+    """(id, label, starts, ends, pieces): the stretches of each document, read once and written, as several passes go over them. Texts without a letter give no row."""
+    shipped(docs.sparkSession)
+    kind = docs.schema[id].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 1000):
+                part = b.slice(at, 1000)
+                cut = [stretches(t) if t else [] for t in part.column(1).to_pylist()]
+                some = pa.array([i for i, c in enumerate(cut) if c], pa.int32())
+                held = [pa.array([[x[k] for x in c] for c in cut if c], pa.list_(t)) for k, t in ((0, pa.int32()), (1, pa.int32()), (2, pa.string()))]
+                yield pa.RecordBatch.from_arrays([part.column(0).take(some), part.column(2).take(some), *held], names=["id", "label", "starts", "ends", "pieces"])
+
+    rows = docs.select(F.col(id).alias("id"), F.col(text).cast("string").alias("t"), F.col(label).cast("string").alias("l"))
+    return written(rows.mapInArrow(run, f"id {kind}, label string, starts array<int>, ends array<int>, pieces array<string>"), "stretches")
 
 
-def _gram_counts(docs: DataFrame, text: str, label: str, model: np.ndarray | None) -> np.ndarray:
+def _gram_counts(read: DataFrame, model: np.ndarray | None) -> np.ndarray:
     """Grams per bucket and language over all documents: by delivered label, or by the likeliest language of each stretch.
 
     Each partition sums into one table of fixed size and gives its used buckets; they are summed in one small shuffle, and at most
@@ -193,22 +211,21 @@ def _gram_counts(docs: DataFrame, text: str, label: str, model: np.ndarray | Non
         for b in batches:
             for at in range(0, b.num_rows, 1000):
                 part = b.slice(at, 1000)
-                cut, pieces = _pieces(part.column(0).to_pylist())
-                if not pieces:
-                    continue
+                lists = part.column(0)
+                pieces = lists.flatten().to_pylist()
+                bucket, owner = gram_buckets(pieces)
                 if model is None:
                     marks = [plain_label(x) for x in part.column(1).to_pylist()]
-                    lang = np.array([names.index(m) if m else -1 for m, c in zip(marks, cut) for _ in c])
+                    lang = np.repeat([names.index(m) if m else -1 for m in marks], lists.value_lengths().to_numpy(zero_copy_only=False)).astype(int)
                 else:
-                    lang = _scores(model, pieces).argmax(axis=1)
-                bucket, owner = gram_buckets(pieces)
+                    lang = _scores_of(model, bucket, owner, len(pieces)).argmax(axis=1)
                 of = lang[owner]
-                for k in range(len(names)):
-                    n[:, k] += np.bincount(bucket[of == k], minlength=BUCKETS)
+                used = of >= 0
+                n += np.bincount(bucket[used] * len(names) + of[used], minlength=n.size).reshape(n.shape)
         used = np.flatnonzero(n.sum(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), *[pa.array(n[used, k]) for k in range(len(names))]], names=["bucket", *names])
 
-    rows = docs.select(F.col(text).cast("string").alias("t"), F.col(label).cast("string").alias("l")).mapInArrow(run, "bucket bigint, " + ", ".join(f"{x} bigint" for x in names))
+    rows = read.select("pieces", "label").mapInArrow(run, "bucket bigint, " + ", ".join(f"{x} bigint" for x in names))
     got = rows.groupBy("bucket").agg(*[F.sum(x).alias(x) for x in names]).toPandas()
     out = np.zeros((BUCKETS, len(names)))
     if len(got):
@@ -221,11 +238,15 @@ def _log(counts: np.ndarray) -> np.ndarray:
     return np.log(smooth / smooth.sum(axis=0)).astype(np.float32)
 
 
-def trained(docs: DataFrame, text: str = "text", label: str = "lang") -> np.ndarray:
-    """Log-probabilities of the gram buckets in each language: counts by delivered label, then once more by the likeliest language
+def trained_on(read: DataFrame) -> np.ndarray:
+    """Log-probabilities of the gram buckets in each language, from the rows of parsed(): counts by delivered label, then once more by the likeliest language
     of each stretch, which takes wrong labels and mixed texts out. Both passes cover all documents."""
-    shipped(docs.sparkSession)
-    return _log(_gram_counts(docs, text, label, _log(_gram_counts(docs, text, label, None))))
+    return _log(_gram_counts(read, _log(_gram_counts(read, None))))
+
+
+def trained(docs: DataFrame, text: str = "text", label: str = "lang") -> np.ndarray:
+    """trained_on() the documents themselves."""
+    return trained_on(parsed(docs.withColumn("__id", F.lit(0)), "__id", text, label))
 
 
 def _is_right(label: str | None, found: list[str]) -> bool:
@@ -240,38 +261,40 @@ def document_languages(docs: DataFrame, model: np.ndarray, id: str = "doc_id", t
     Texts that are null, empty or have no letters a to z (after folding) give no rows. Equal evidence takes the language
     earlier in LANGUAGES.
     """
-    spark = shipped(docs.sparkSession)
+    return languages_of(parsed(docs, id, text, label), model).withColumnRenamed("id", id)
+
+
+def languages_of(read: DataFrame, model: np.ndarray) -> DataFrame:
+    """document_languages() from the rows of parsed()."""
+    spark = read.sparkSession
     sent = spark.sparkContext.broadcast(model)  # BUCKETS x languages, a fixed size
-    kind = docs.schema[id].dataType.simpleString()
+    kind = read.schema["id"].dataType.simpleString()
     fields = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("confidence", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 1000):
                 part = b.slice(at, 1000)
-                cut, pieces = _pieces(part.column(1).to_pylist())
-                scores = _scores(sent.value, pieces) if pieces else None
-                labels = part.column(2).to_pylist()
+                labels, starts, ends = (part.column(k).to_pylist() for k in (1, 2, 3))
+                scores = _scores(sent.value, part.column(4).flatten().to_pylist())
                 rows: list[tuple] = []
                 k = 0
-                for i, c in enumerate(cut):
-                    if not c:
-                        continue
-                    among, share, of = language_set(scores[k : k + len(c)])
-                    k += len(c)
+                for i, begins in enumerate(starts):
+                    among, share, of = language_set(scores[k : k + len(begins)])
+                    k += len(begins)
                     best = of.argmax(axis=1)
                     names = [LANGUAGES[x] for x in among]
                     right = _is_right(labels[i], names)
                     for j, name in enumerate(names):
                         mine = np.flatnonzero(best == j)
-                        rows.append((i, labels[i], name, float(share[j]), float(of[mine, j].mean()), right, [{"start": c[m][0], "end": c[m][1], "confidence": float(of[m, j])} for m in mine]))
+                        rows.append((i, labels[i], name, float(share[j]), float(of[mine, j].mean()), right, [{"start": begins[m], "end": ends[i][m], "confidence": float(of[m, j])} for m in mine]))
                 if rows:
                     ids = part.column(0).take(pa.array([r[0] for r in rows]))
                     kinds = (pa.string(), pa.string(), pa.float64(), pa.float64(), pa.bool_(), pa.list_(fields))
                     yield pa.RecordBatch.from_arrays([ids, *[pa.array([r[n + 1] for r in rows], t) for n, t in enumerate(kinds)]], names=["id", "label", "lang", "share", "confidence", "right", "segments"])
 
     schema = f"id {kind}, label string, lang string, share double, confidence double, right boolean, segments array<struct<start:int,end:int,confidence:double>>"
-    return docs.select(F.col(id).alias("id"), F.col(text).cast("string").alias("t"), F.col(label).cast("string").alias("l")).mapInArrow(run, schema).withColumnRenamed("id", id)
+    return read.select("id", "label", "starts", "ends", "pieces").mapInArrow(run, schema)
 
 
 def mislabelled(found: DataFrame, id: str = "doc_id") -> DataFrame:

@@ -52,7 +52,8 @@ def p8_shares(spark: SparkSession, root: str) -> DataFrame:
 
 def _languages(spark: SparkSession, root: str) -> DataFrame:
     docs = spread(table(spark, root, "documents").select("doc_id", "text", "lang"))
-    return languages.document_languages(docs, languages.trained(docs))
+    read = languages.parsed(docs)
+    return languages.languages_of(read, languages.trained_on(read)).withColumnRenamed("id", "doc_id")
 
 
 def p9_found(spark: SparkSession, root: str) -> DataFrame:
