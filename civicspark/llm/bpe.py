@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import base64
-import heapq
 import json
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,9 +23,8 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 #: Words kept encoded in one worker; beyond that the memory is emptied and filled again.
 CACHED_WORDS = 400_000
 
-#: Words of more bytes (scripts without blanks, pasted data) are contracted outside DuckDB by the same rule: the recursion keeps the rows of
-#: every round, so its memory would grow with the square of a word's length.
-LONG_WORD = 2_000
+#: Rounds of one recursion: it keeps the rows of every round, so what is not done by then goes on in another one.
+ROUNDS = 48
 
 #: What null and empty texts come out as.
 NO_TOKENS: list[int] = []
@@ -36,10 +35,10 @@ NO_TOKENS: list[int] = []
 #: the last round are its tokens.
 ENCODE = """
 WITH RECURSIVE state(step, word, pos, tok) AS (
-  SELECT 0, word, pos, tok FROM tokens
+  SELECT CAST(0 AS BIGINT), word, pos, tok FROM tokens
   UNION ALL (
   WITH neighbours AS (
-    SELECT *, lead(tok) OVER (PARTITION BY word ORDER BY pos) AS right_tok FROM state),
+    SELECT *, lead(tok) OVER (PARTITION BY word ORDER BY pos) AS right_tok FROM state WHERE step < {rounds}),
   pairs AS (
     SELECT n.step, n.word, n.pos, n.tok, m.rank, m.id
     FROM neighbours n LEFT JOIN merges m ON m.l = n.tok AND m.r = n.right_tok),
@@ -55,11 +54,15 @@ WITH RECURSIVE state(step, word, pos, tok) AS (
   kept AS (
     SELECT *, coalesce(lag(take) OVER (PARTITION BY word ORDER BY pos), FALSE) AS eaten FROM chosen)
   SELECT step + 1, word, pos, CASE WHEN take THEN id ELSE tok END FROM kept WHERE NOT eaten))
-SELECT word, list(tok ORDER BY pos) AS ids
+SELECT word, pos, tok, last
 FROM (SELECT *, max(step) OVER (PARTITION BY word) AS last FROM state)
-WHERE step = last GROUP BY word
+WHERE step = last
 """
 
+#: Tokens back in order, as bytes: of words as ids, of texts as letters.
+GATHER = "SELECT owner, list(tok ORDER BY pos) AS ids FROM done JOIN owners USING (word) GROUP BY owner"
+DECODE = "SELECT text, string_agg(hex(bytes), '' ORDER BY pos) AS letters FROM ids_in JOIN vocab USING (id) GROUP BY text"
+
 
 def byte_letters() -> dict[int, str]:
     """The printable letter that stands for each byte: itself where printable, else the next code point from 256 on."""
@@ -103,55 +106,44 @@ class Encoder:
         self.db.register("rows_in", pa.table({"l": column(0), "r": column(1), "rank": column(2), "id": column(3)}))
         self.db.execute("CREATE TABLE merges AS SELECT * FROM rows_in")
         self.db.unregister("rows_in")
+        vocab = pa.table({"id": pa.array(list(self.ids.values()), pa.int32()), "bytes": pa.array(list(self.ids), pa.binary())})
+        self.db.register("rows_in", vocab)
+        self.db.execute("CREATE TABLE vocab AS SELECT * FROM rows_in")
+        self.db.unregister("rows_in")
         self.known: dict[str, list[int]] = {}
-        self.rows = rows
-        self.pairs: dict[tuple[int, int], tuple[int, int]] | None = None
-
-    def contract(self, raw: bytes) -> list[int]:
-        """The tokens of one long word: pairs wait in a heap by rank and place, so the leftmost of least rank is contracted next."""
-        if self.pairs is None:
-            self.pairs = {(a, b): (rank, i) for a, b, rank, i in self.rows}
-        tok = self.first[np.frombuffer(raw, np.uint8)].tolist()
-        after, before = list(range(1, len(tok) + 1)), list(range(-1, len(tok) - 1))
-        heap: list[tuple[int, int, int, int, int]] = []
-
-        def wait(k: int) -> None:
-            j = after[k] if k >= 0 else len(tok)
-            if j < len(tok) and (found := self.pairs.get((tok[k], tok[j]))):
-                heapq.heappush(heap, (found[0], k, tok[k], tok[j], found[1]))
-
-        for k in range(len(tok) - 1):
-            wait(k)
-        while heap:
-            _, k, left, right, merged = heapq.heappop(heap)
-            j = after[k]
-            if tok[k] != left or j >= len(tok) or tok[j] != right:
-                continue  # one of the two was contracted meanwhile
-            tok[k], tok[j] = merged, -1
-            after[k] = after[j]
-            if after[k] < len(tok):
-                before[after[k]] = k
-            wait(before[k])
-            wait(k)
-        return [t for t in tok if t >= 0]
+        self.joined = np.zeros((256, 256), bool)  # bytes that stand side by side in some token; no merge crosses any others
+        for t in self.ids:
+            b = np.frombuffer(t, np.uint8)
+            self.joined[b[:-1], b[1:]] = True
 
     def learn(self, words: list[str]) -> None:
-        """Encode words not met before: their bytes as rows (word, pos, tok), contracted to the fixpoint."""
-        coded = [(w, w.encode()) for w in words]
-        for w, b in coded:
-            if len(b) > LONG_WORD:
-                self.known[w] = self.contract(b)
-        short = [x for x in coded if len(x[1]) <= LONG_WORD]
-        for at in range(0, len(short), 20_000):
-            some, raw = zip(*short[at : at + 20_000])
+        """Encode words not met before: their bytes as rows (word, pos, tok), contracted to the fixpoint, whatever their length. A word is cut where two bytes meet that no
+        token holds side by side: no merge crosses such a place, and each piece is contracted by itself."""
+        for at in range(0, len(words), 20_000):
+            some = words[at : at + 20_000]
+            raw = [w.encode() for w in some]
             n = np.array([len(b) for b in raw], dtype=np.int64)
-            pos = (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)).astype(np.int32)
-            rows = {"word": np.repeat(np.arange(len(raw), dtype=np.int32), n), "pos": pos, "tok": self.first[np.frombuffer(b"".join(raw), np.uint8)]}
-            self.db.register("tokens", pa.table(rows))
-            got = self.db.sql(ENCODE).arrow()
-            got = got.read_all() if hasattr(got, "read_all") else got
-            self.db.unregister("tokens")
-            for w, ids in zip(got["word"].to_pylist(), got["ids"].to_pylist()):
+            flat = np.frombuffer(b"".join(raw), np.uint8)
+            begins = np.zeros(len(flat), bool)
+            begins[np.cumsum(n) - n] = True
+            begins[1:] |= ~self.joined[flat[:-1], flat[1:]]
+            piece = (np.cumsum(begins) - 1).astype(np.int32)
+            owner = np.repeat(np.arange(len(raw), dtype=np.int32), n)
+            left = pa.table({"word": piece, "pos": np.arange(len(flat), dtype=np.int32), "tok": self.first[flat]})
+            self.db.register("owners", pa.table({"word": piece[begins], "owner": owner[begins]}))
+            done = []
+            while left.num_rows:
+                self.db.register("tokens", left)
+                got = self.db.sql(ENCODE.replace("{rounds}", str(ROUNDS))).to_arrow_table()
+                self.db.unregister("tokens")
+                ended = pc.less(got["last"], ROUNDS)
+                done.append(got.filter(ended).select(["word", "pos", "tok"]))
+                left = got.filter(pc.invert(ended)).select(["word", "pos", "tok"])
+            self.db.register("done", pa.concat_tables(done))
+            back = self.db.sql(GATHER).to_arrow_table()
+            self.db.unregister("done")
+            self.db.unregister("owners")
+            for w, ids in zip(back["owner"].to_pylist(), back["ids"].to_pylist()):
                 self.known[some[w]] = ids
 
     def encode(self, texts: list[str | None]) -> list[list[int]]:
@@ -165,8 +157,19 @@ class Encoder:
         return [[i for w in ws for i in known[w]] if ws else list(NO_TOKENS) for ws in split]
 
     def decode(self, ids: list[int]) -> str:
-        by_id = {i: b for b, i in self.ids.items()}
-        return b"".join(by_id[i] for i in ids).decode()
+        return self.decode_many([ids])[0]
+
+    def decode_many(self, lists: list[list[int] | None]) -> list[str]:
+        """The texts of lists of ids, by an ordered aggregation over their tokens; an empty or null list is the empty text."""
+        n = np.array([len(x or ()) for x in lists], np.int64)
+        flat = np.array([i for x in lists for i in x or ()], np.int32)
+        self.db.register("ids_in", pa.table({"text": np.repeat(np.arange(len(lists)), n), "pos": np.arange(len(flat)), "id": flat}))
+        got = self.db.sql(DECODE).fetchall()
+        self.db.unregister("ids_in")
+        out = [""] * len(lists)
+        for k, letters in got:
+            out[k] = bytes.fromhex(letters).decode()
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -200,6 +203,21 @@ def encoded(docs: DataFrame, id: str = "doc_id", text: str = "text", path: str =
     return docs.select(F.col(id).alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(run, f"id {kind}, ids array<int>").withColumnRenamed("id", id)
 
 
+def decoded(rows: DataFrame, id: str = "doc_id", ids: str = "ids", path: str = BYTE_BPE_50K) -> DataFrame:
+    """(id, text): the text of each list of ids, which encoded() made; null and empty lists give the empty text. Nothing is shuffled."""
+    shipped(rows.sparkSession)
+    kind = rows.schema[id].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(path)
+        for b in batches:
+            for at in range(0, b.num_rows, 1000):
+                part = b.slice(at, 1000)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(enc.decode_many(part.column(1).to_pylist()), pa.string())], names=["id", "text"])
+
+    return rows.select(F.col(id).alias("id"), F.col(ids).alias("ids")).mapInArrow(run, f"id {kind}, text string").withColumnRenamed("id", id)
+
+
 def token_counts(docs: DataFrame, keep: list[str], text: str = "text", path: str = BYTE_BPE_50K) -> DataFrame:
     """(*keep, n_tokens): how many tokens each text has; 0 for null and empty ones."""
     shipped(docs.sparkSession)

@@ -36,8 +36,13 @@ def test_long_words():
     ref = reference(P.path("byte_bpe_50k.tiktoken"))
     for t in ("".join(r.choice("abcdefghijklmnop") for _ in range(30_000)), "".join(chr(r.randrange(0x4E00, 0x9FFF)) for _ in range(8_000)), "ab" * 5_000, "a" * 9_999):
         assert enc.encode([t])[0] == ref.encode_ordinary(t)
-        short = t[:600]
-        assert enc.contract(short.encode()) == enc.encode([short])[0]
+        assert enc.decode(enc.encode([t])[0]) == t
+
+
+def test_words_are_cut_where_no_merge_crosses():
+    enc = bpe.Encoder(P.path("byte_bpe_50k.json"))
+    assert all(enc.joined[a, b] for t in enc.ids for a, b in zip(t, t[1:]))
+    assert not enc.joined.all()
 
 
 def test_table(spark):
@@ -47,6 +52,8 @@ def test_table(spark):
     abc = bpe.encoder().encode(["abc"])[0]
     assert sorted(got, key=str) == sorted([(1, []), (2, []), (2, abc), (None, abc)], key=str)
     assert bpe.encoded(df.limit(0)).count() == 0
+    back = bpe.decoded(bpe.encoded(df)).collect()
+    assert sorted(((r.doc_id, r.text) for r in back), key=str) == sorted([(1, ""), (2, ""), (2, "abc"), (None, "abc")], key=str)
     assert {r.n_tokens for r in bpe.token_counts(df, ["doc_id", "ids"]).collect()} == {0, len(abc)}
 
 
