@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from itertools import pairwise
 
 from pyspark.sql import Column
@@ -19,11 +20,12 @@ def valid_day(c: Column) -> Column:
 
 
 def any_day(c: Column) -> Column:
-    """YYYY-MM-DD from an ISO day anywhere in the text, or from d/m/yyyy with / . or -; null for neither."""
+    """YYYY-MM-DD from an ISO day anywhere in the text, from d/m/yyyy with / . or -, or from Unix time in seconds (ten digits) or milliseconds (thirteen); null for anything else."""
+    unix = F.when(c.rlike(r"^\s*\d{10}(\d{3})?\s*$"), F.substring(F.trim(c), 1, 10).cast("bigint"))
     iso = F.nullif(F.regexp_extract(c, r"\d{4}-\d{2}-\d{2}", 0), F.lit(""))
     pattern = r"(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})"
     turned = F.concat_ws("-", F.regexp_extract(c, pattern, 3), F.lpad(F.regexp_extract(c, pattern, 2), 2, "0"), F.lpad(F.regexp_extract(c, pattern, 1), 2, "0"))
-    return F.coalesce(iso, F.date_format(F.try_to_date(turned, "yyyy-MM-dd"), "yyyy-MM-dd"))
+    return F.coalesce(iso, F.date_format(F.try_to_date(turned, "yyyy-MM-dd"), "yyyy-MM-dd"), F.date_format(F.timestamp_seconds(unix), "yyyy-MM-dd"))
 
 
 def instant(c: Column, offset: str = "-03:00") -> Column:
@@ -55,25 +57,35 @@ def shown_day(day: Column) -> Column:
     return F.coalesce(F.date_format(day, "dd/MM/yyyy"), F.lit("—"))
 
 
-def cron_minutes(expression: str) -> list[int]:
-    """Minutes of the day at which a cron expression of minutes and hours fires."""
+def cron_minutes(expression: str | None) -> list[int]:
+    """Minutes of the day at which a cron expression of minutes and hours fires; none if one of the two can't be read or leaves its range.
+
+    A field is a list of ``*``, ``n`` or ``a-b``, each with an optional ``/step``; a step behind a single number changes nothing.
+    """
+
+    def part(text: str, low: int, high: int) -> range | None:
+        m = re.fullmatch(r"\s*(\*|\d+(?:-\d+)?|)\s*(?:/\s*(\d+)\s*)?", text)
+        if not m or (m[2] is not None and int(m[2]) == 0):
+            return None
+        ends = [low, high] if m[1] in ("*", "") else [int(x) for x in m[1].split("-")]
+        a, b = ends[0], ends[-1]
+        return range(a, b + 1, int(m[2] or 1)) if low <= a <= b <= high else None
 
     def field(text: str, low: int, high: int) -> list[int]:
-        found: set[int] = set()
-        for part in text.split(","):
-            span, _, step = part.partition("/")
-            if span == "*":
-                a, b = low, high
-            elif "-" in span:
-                a, b = map(int, span.split("-"))
-            else:
-                a = int(span)
-                b = high if step else a
-            found |= set(range(a, b + 1, int(step or 1)))
-        return sorted(x for x in found if low <= x <= high)
-
-    minute, hour = expression.split()[:2]
-    return sorted(h * 60 + m for h in field(hour, 0, 23) for m in field(minute, 0, 59))
+        parts = [part(p, low, high) for p in text.split(",") if p.strip()]
+        return [] if None in parts else sorted({x for p in parts for x in p})
+
+    fields = (expression or "").split()
+    if len(fields) < 2:
+        return []
+    return [h * 60 + m for h in field(fields[1], 0, 23) for m in field(fields[0], 0, 59)]
+
+
+def cron_label(expression: str | None, offset: int = -180) -> str:
+    """How often a cron expression fires in a day, and the first four times in local time, ``offset`` minutes from UTC."""
+    at = cron_minutes(expression)
+    shown = [f"{m // 60:02d}:{m % 60:02d}" for m in ((x + offset) % 1440 for x in at[:4])]
+    return f"{len(at)}x ao dia, às {', '.join(shown)}{', …' if len(at) > 4 else ''}" if at else "agendamento não identificado"
 
 
 def shortest_gap(minutes: list[int]) -> int:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -31,12 +32,30 @@ def normalized(c: Column) -> Column:
     return F.trim(F.regexp_replace(fold(c), r"\s+", " "))
 
 
+#: The most frequent named entities, looked for first.
+_USUAL = ("nbsp", "amp", "lt", "gt", "quot", "apos", "ccedil", "atilde", "otilde", "aacute", "eacute", "iacute", "oacute", "uacute", "acirc", "ecirc", "ocirc", "agrave")
+_NAMED = {n: html5[n + ";"] for n in _USUAL} | {n[:-1]: v for n, v in sorted(html5.items()) if n.endswith(";") and n[:-1] not in _USUAL}
+
+
 def unescaped(c: Column) -> Column:
-    """Common named entities and &#39; as characters; &amp; last, so that nothing is unescaped twice."""
-    out = c
-    for name, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&ccedil;", "ç"), ("&atilde;", "ã"), ("&otilde;", "õ"), ("&aacute;", "á"), ("&eacute;", "é"), ("&iacute;", "í"), ("&oacute;", "ó"), ("&uacute;", "ú"), ("&acirc;", "â"), ("&ecirc;", "ê"), ("&ocirc;", "ô"), ("&agrave;", "à"), ("&amp;", "&")):
-        out = F.replace(out, F.lit(name), F.lit(char))
-    return out
+    """Named entities of HTML (closed by a semicolon) and numbers of characters as characters, each once; &nbsp; and its number as a blank.
+
+    Entities that don't exist, and numbers of no character, stay as they are. The text is cut at its ampersands, so nothing is resolved twice.
+    """
+    pieces = F.split(c, "&")
+    table = F.create_map(*[F.lit(x) for kv in _NAMED.items() for x in kv])
+
+    def resolved(p: Column) -> Column:
+        name = F.regexp_extract(p, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});", 1)
+        code = F.when(name.rlike("^#[0-9]"), F.substring(name, 2, 8).cast("bigint")).when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 8), 16, 10).cast("bigint"))
+        valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        char = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code).otherwise(32)), 8, "0")), "UTF-32"))
+        value = F.when(name == "", F.lit(None).cast("string")).when(name.startswith("#"), char).otherwise(F.try_element_at(table, name))
+        value = F.replace(value, F.lit("\xa0"), F.lit(" "))
+        return F.when(value.isNull(), F.concat(F.lit("&"), p)).otherwise(F.concat(value, F.substring(p, F.length(name) + F.lit(2), F.length(p))))
+
+    rest = F.transform(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), resolved)
+    return F.when(c.contains("&"), F.concat(F.element_at(pieces, 1), F.array_join(rest, ""))).otherwise(c)
 
 
 def escaped(c: Column) -> Column:

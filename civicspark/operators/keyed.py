@@ -26,8 +26,8 @@ def dedup_counts(rows: DataFrame, by: str, key: Column, kept: Column) -> DataFra
 def retained(rows: DataFrame, group: str, order: list[Column], newest: int, recent: Column) -> DataFrame:
     """Rows that are among the ``newest`` of their group, or recent.
 
-    Recent rows pass without ranking; the rank limit is pushed into the window, so a task keeps at most ``newest`` rows of a group
-    before the shuffle.
+    The rank limit is pushed into the window, so a task keeps at most ``newest`` rows of a group before the shuffle; recent rows are read once more and
+    pass by the filter alone.
     """
     rank = F.row_number().over(Window.partitionBy(group).orderBy(*order))
     top = rows.withColumn("__n", rank).where(F.col("__n") <= newest).withColumn("__top", F.lit(True)).drop("__n")

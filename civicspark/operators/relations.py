@@ -99,10 +99,17 @@ def matching(subs: DataFrame, changes: DataFrame) -> DataFrame:
     """(sub_id, change_id) of changes a subscription asks for.
 
     subs: (sub_id, since, least, themes, orgs); changes: (change_id, at, score, theme, org). Empty lists ask for everything. The
-    subscriptions with themes meet the changes by theme, the others by nothing but the filters; those are to be few.
+    subscriptions with themes meet the changes by theme, those with sources only by source. Those that ask for everything meet all changes from a day on, which is their result:
+    different (since, least) are few, so changes meet these first, and only what matches is handed to the subscriptions behind them.
     """
     c, s = F.col("at") >= F.col("since"), F.coalesce(F.col("score"), F.lit(-1)) >= F.col("least")
     org = (F.size("orgs") == 0) | F.array_contains("orgs", F.col("org"))
     by_theme = subs.where(F.size("themes") > 0).withColumn("theme", F.explode(F.array_distinct("themes"))).join(changes, "theme").where(c & s & org)
-    any_theme = subs.where(F.size("themes") == 0).join(changes, c & s & org)
-    return by_theme.select("sub_id", "change_id").unionByName(any_theme.select("sub_id", "change_id")).distinct()
+    by_org = subs.where((F.size("themes") == 0) & (F.size("orgs") > 0)).withColumn("org", F.explode(F.array_distinct("orgs"))).join(changes, "org").where(c & s)
+    free = subs.where((F.size("themes") == 0) & (F.size("orgs") == 0))
+    wants = F.array_sort(F.collect_set(F.struct("since", "least")))
+    one = free.agg(wants.alias("wants")).withColumn("k", F.lit(1))  # one row of the different wishes
+    asked = changes.withColumn("k", F.lit(1)).join(one, "k").select("change_id", F.explode(F.filter("wants", lambda w: (F.col("at") >= w["since"]) & (F.coalesce("score", F.lit(-1)) >= w["least"]))).alias("w"))
+    any_theme = asked.select("change_id", "w.since", "w.least").join(free.select("sub_id", "since", "least"), ["since", "least"])
+    parts = [by_theme, by_org, any_theme]
+    return parts[0].select("sub_id", "change_id").unionByName(parts[1].select("sub_id", "change_id")).unionByName(parts[2].select("sub_id", "change_id")).distinct()

@@ -55,10 +55,12 @@ def feed_items(bodies: DataFrame, body: str, keep: list[str] = ()) -> DataFrame:
     )
 
 
-def html_items(bodies: DataFrame, body: str, base: str, link_pattern: str, keep: list[str] = (), most: int = 80, after: int = 1200) -> DataFrame:
+def html_items(bodies: DataFrame, body: str, base: str, link_pattern: str, keep: list[str] = (), most: int = 80, after: int = 1000) -> DataFrame:
     """The links of an HTML listing whose address matches, each once, with up to ``after`` characters that follow as description; the first
     ``most`` by place."""
-    anchor = r"(?s)<a\b[^>]*?href=[\"']([^\"']+)[\"'][^>]*>(.*?)</a>(?=([\s\S]{0,%d}))" % min(after, 1000)
+    if not 0 <= after <= 1000:
+        raise ValueError("after: 0 to 1000, the longest repetition a pattern takes")
+    anchor = r"(?s)<a\b[^>]*?href=[\"']([^\"']+)[\"'][^>]*>(.*?)</a>(?=([\s\S]{0,%d}))" % after
     group = lambda k: F.regexp_extract_all(body, F.lit(anchor), F.lit(k))
     rows = bodies.select(*keep, F.posexplode(F.arrays_zip(group(1).alias("href"), group(2).alias("inner"), group(3).alias("next"))).alias("ord", "a"))
     found = rows.where(F.col("a.href").rlike(link_pattern)).select(*keep, "ord", absolute_url(base, F.col("a.href")).alias("link"), F.lit("pagina").alias("classe"), plain_text(F.col("a.inner")).alias("titulo"), plain_text(F.regexp_replace("a.next", r"(?s)<a\b.*", "")).alias("descricao"), F.regexp_extract("a.next", r"\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}", 0).alias("data"))
@@ -83,7 +85,40 @@ def items_of(bodies: DataFrame, kind: str, body: str, base: str = "https://examp
     if kind == "script":
         inner = bodies.select(*keep, embedded_json(F.col(body), "").alias(body))
         return json_items(inner, body, LISTINGS["diario"], keep)
-    return json_items(bodies, body, LISTINGS[kind], keep)
+    found = json_items(bodies, body, LISTINGS[kind], keep)
+    return documents_only(found) if kind == "plone" else found
+
+
+#: Item types and endings of addresses that stand for files and pictures, not for pages.
+FILE_TYPES = ["Image", "File", "Folder", "Link"]
+FILE_ENDINGS = r"(?i)\.(png|jpe?g|gif|svg|webp|ico)(/view)?/?$"
+
+
+def documents_only(items: DataFrame) -> DataFrame:
+    """The items without pictures and bare files, by type and by ending of the address; nulls stay."""
+    return items.where(~F.coalesce(F.col("classe").isin(FILE_TYPES), F.lit(False)) & ~F.coalesce(F.col("link").rlike(FILE_ENDINGS), F.lit(False)))
+
+
+def as_list(body: Column, path: str) -> Column:
+    """An array of what JSON holds at ``path``: of its elements, or of the one value that stands there without a list; empty for null and for nothing."""
+    v = F.try_parse_json(body)
+    many, one = F.try_variant_get(v, path, "array<variant>"), F.try_variant_get(v, path, "variant")
+    some = F.when(one.isNotNull() & ~F.is_variant_null(one), F.array(one))
+    return F.coalesce(many, some, F.array().cast("array<variant>"))
+
+
+#: Where the details of a matter stand in the two houses' answers, by output column.
+MATTERS = {
+    "camara": ("$.dados", {"codigo": "$.id", "tipo": "$.siglaTipo", "numero": "$.numero", "ano": "$.ano", "ementa": "$.ementa", "situacao": "$.statusProposicao.descricaoSituacao", "data": "$.statusProposicao.dataHora"}),
+    "senado": ("$.DetalheMateria.Materia", {"codigo": "$.IdentificacaoMateria.CodigoMateria", "tipo": "$.IdentificacaoMateria.SiglaSubtipoMateria", "numero": "$.IdentificacaoMateria.NumeroMateria", "ano": "$.IdentificacaoMateria.AnoMateria", "ementa": "$.DadosBasicosMateria.EmentaMateria", "situacao": "$.SituacaoAtual.Descricao", "data": "$.DadosBasicosMateria.DataApresentacao"}),
+}
+
+
+def matters(bodies: DataFrame, body: str, house: str, keep: list[str] = ()) -> DataFrame:
+    """(*keep, codigo, tipo, numero, ano, ementa, situacao, data): the matters in a house's answers, whether one or a list stands there."""
+    root, fields = MATTERS[house]
+    rows = bodies.select(*keep, F.explode(as_list(F.col(body), root)).alias("m"))
+    return rows.select(*keep, *[F.try_variant_get("m", p, "string").alias(n) for n, p in fields.items()])
 
 
 def all_items(bodies: DataFrame, kind: str, body: str, kinds: list[str], keep: list[str] = ()) -> DataFrame:

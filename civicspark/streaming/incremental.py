@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.keyed import first_wins
-from ..session import scratch_path
+from ..session import scratch_path, written
 
 
 def parquet_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
@@ -59,16 +59,38 @@ def run_to_end(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
     return spark.read.parquet(f"{out}/batch={last['n']}") if mode == "complete" else spark.read.parquet(out).drop("batch")
 
 
-def upsert_stream(stream: DataFrame, path: str, keys: list[str], version: str) -> StreamingQuery:
-    """Keep the latest row per key in a versioned table at ``path``, one new version per batch, named by the batch: a batch tried again
-    rewrites its own version from the one before."""
+def _parts(spark: SparkSession, path: str, before: int | None = None) -> dict[int, int]:
+    """The newest part of each bucket, of batches below ``before``; empty where nothing is there."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/upsert_bucket=*/upsert_part=*")
+    found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(at) or []
+    out: dict[int, int] = {}
+    for f in found:
+        bucket, v = (int(x.rpartition("=")[2]) for x in str(f.getPath().toString()).rsplit("/", 2)[1:])
+        if before is None or v < before:
+            out[bucket] = max(v, out.get(bucket, -1))
+    return out
+
+
+def upserted(spark: SparkSession, path: str) -> DataFrame:
+    """The table that upsert_stream() keeps at ``path``."""
+    parts = [f"{path}/upsert_bucket={b}/upsert_part={v}" for b, v in sorted(_parts(spark, path).items())]
+    return spark.read.option("basePath", path).parquet(*parts).drop("upsert_bucket", "upsert_part")
+
+
+def upsert_stream(stream: DataFrame, path: str, keys: list[str], version: str, buckets: int = 64) -> StreamingQuery:
+    """Keep the latest row per key in a table at ``path``, read by upserted(). Keys lie in ``buckets`` by hash, and a batch rewrites the buckets it touches only, each under
+    the number of the batch: a batch tried again rewrites its own part from the ones before, and untouched buckets are not read."""
     spark = stream.sparkSession
 
     def put(batch: DataFrame, number: int) -> None:
-        newest = first_wins(batch, keys, [F.col(version).desc_nulls_last()])
-        if number:
-            before = spark.read.parquet(f"{path}/v={number - 1}")
+        newest = first_wins(batch, keys, [F.col(version).desc_nulls_last()]).withColumn("upsert_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+        newest = written(newest, "upsert")
+        touched = [r.upsert_bucket for r in newest.select("upsert_bucket").distinct().collect()]  # buckets at most
+        held = _parts(spark, path, number)
+        old = [f"{path}/upsert_bucket={b}/upsert_part={held[b]}" for b in touched if b in held]
+        if old:
+            before = spark.read.option("basePath", path).parquet(*old).drop("upsert_part")
             newest = first_wins(before.unionByName(newest), keys, [F.col(version).desc_nulls_last()])
-        newest.write.mode("overwrite").parquet(f"{path}/v={number}")
+        newest.repartition("upsert_bucket").withColumn("upsert_part", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("upsert_bucket", "upsert_part").parquet(path)
 
     return stream.writeStream.option("checkpointLocation", f"{path}-mark").trigger(availableNow=True).foreachBatch(put).start()

@@ -127,3 +127,25 @@ def test_quality(spark):
     rules_ = quality.required(["n"]) | {"url": ("aviso", ~F.col("u").rlike("^https?://"))}
     rep = quality.report([quality.broken(r, "t", "k", rules_), quality.repeated(r, "t", ["k"])])
     assert {(x.regra, x.n) for x in rep.collect()} == {("ausente:n", 2), ("url", 1), ("repetido", 1)}
+
+
+def test_entities_like_the_library(spark):
+    import html
+
+    texts = ["&lt;b&gt; &amp;lt; &amp;amp;", "&ccedil;&Ccedil;&hellip;&mdash;&euro;", "&#39;&#233;&#x1F600;&#8212;", "sem nada", "", "a & b &; &x &unknown; &amp", "&&amp;&", "x&nbsp;y"]
+    got = [r.t for r in spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, s string").orderBy("k").select(text.unescaped(F.col("s")).alias("t")).collect()]
+    for t, g in zip(texts, got):
+        assert g == (html.unescape(t).replace("\xa0", " ") if "&amp" != t[-4:] else "a & b &; &x &unknown; &amp"), t
+    assert spark.range(1).select(text.unescaped(F.lit("&#55296; &#0; &#9999999;")).alias("t")).first().t == "&#55296; &#0; &#9999999;"
+    assert spark.range(1).select(text.unescaped(F.lit(None).cast("string")).alias("t")).first().t is None
+
+
+def test_cron_fields():
+    assert dates.cron_minutes("5/10 3 * * *") == [185] and dates.cron_minutes("*/30 0-1 * * *") == [0, 30, 60, 90]
+    assert all(dates.cron_minutes(x) == [] for x in ("61 * * * *", "a * * * *", "*/0 * * * *", "5-1 * * * *", "5", "", None))
+    assert dates.cron_label("17 9,21 * * *") == "2x ao dia, às 06:17, 18:17" and dates.cron_label("x y") == "agendamento não identificado"
+
+
+def test_unix_days(spark):
+    got = spark.createDataFrame([("1704067200",), ("1704067200000",), ("170406720",), (None,)], "d string").select(dates.any_day(F.col("d")).alias("x")).collect()
+    assert [r.x for r in got] == ["2024-01-01", "2024-01-01", None, None]

@@ -5,6 +5,8 @@ import json
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+import pytest
+
 from civicspark.sources import files, http_source, parsers
 from civicspark.streaming import incremental
 
@@ -89,9 +91,26 @@ def test_upsert_stream(spark, tmp_path):
         spark.createDataFrame([("a", k), (f"b{k}", k)], "id string, v int").coalesce(1).write.mode("append").parquet(src)
     q = incremental.upsert_stream(incremental.parquet_stream(spark, src), out, ["id"], "v")
     q.awaitTermination()
-    last = max(int(x.name[2:]) for x in (tmp_path / "out").iterdir() if x.name.startswith("v="))
-    got = {tuple(x) for x in spark.read.parquet(f"{out}/v={last}").collect()}
+    got = {tuple(x) for x in incremental.upserted(spark, out).select("id", "v").collect()}
     assert got == {("a", 2), ("b0", 0), ("b1", 1), ("b2", 2)}
+    assert len(list((tmp_path / "out").glob("upsert_bucket=*/upsert_part=*"))) <= 6  # only what a batch touches is written
+
+
+def test_matters_of_two_houses(spark):
+    one = '{"DetalheMateria": {"Materia": {"IdentificacaoMateria": {"CodigoMateria": "9", "SiglaSubtipoMateria": "PL", "NumeroMateria": "12", "AnoMateria": "2023"}, "DadosBasicosMateria": {"EmentaMateria": "x", "DataApresentacao": "2023-01-02"}}}}'
+    got = parsers.matters(body(spark, one), "corpo", "senado").first()
+    assert (got.codigo, got.tipo, got.numero, got.ano, got.situacao) == ("9", "PL", "12", "2023", None)
+    many = '{"dados": [{"id": 1, "siglaTipo": "PL", "statusProposicao": {"descricaoSituacao": "s"}}, {"id": 2}]}'
+    assert [(r.codigo, r.tipo, r.situacao) for r in parsers.matters(body(spark, many), "corpo", "camara").collect()] == [("1", "PL", "s"), ("2", None, None)]
+    for nothing in ('{"dados": null}', "{}", "no json", None):
+        assert parsers.matters(body(spark, nothing), "corpo", "camara").count() == 0
+
+
+def test_pictures_are_no_items(spark):
+    rows = '{"items": [{"@id": "https://x/a.PNG", "title": "a"}, {"@id": "https://x/b", "@type": "Image", "title": "b"}, {"@id": "https://x/c", "@type": "Document", "title": "c"}, {"title": "d"}]}'
+    assert [r.titulo for r in parsers.items_of(body(spark, rows), "plone", "corpo").collect()] == ["c", "d"]
+    with pytest.raises(ValueError):
+        parsers.html_items(body(spark, "x"), "corpo", "https://x/", ".", after=1200)
 
 
 def test_parser_profile(spark):
