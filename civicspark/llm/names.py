@@ -9,7 +9,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shipped, written
@@ -257,16 +257,67 @@ def placed_keys(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", "state", "parts", "kinds").mapInArrow(run, "node bigint, state string, initial string, kind string, family string, given string").distinct()
 
 
+def _widely(rows: DataFrame, *by: str | Column) -> DataFrame:
+    """Rows over all cores before a step of much work on little data, which would else be put into few tasks."""
+    spark = rows.sparkSession
+    return rows.repartition(max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), *by)
+
+
 def _distances(xs: list[tuple[str, str]], ys: list[tuple[str, str]]) -> np.ndarray:
     """The greater of the slips between the first parts and those between the second ones: a metric, as the greater of two metrics is one."""
     return np.maximum(*[many_slips([x[k] for x in xs], [y[k] for y in ys]) for k in (0, 1)])
 
 
+@lru_cache(maxsize=200_000)
+def _bag(word: str) -> np.ndarray:
+    """How often each letter stands in a word; other characters together."""
+    return np.bincount([ord(c) - 97 if "a" <= c <= "z" else 26 for c in word], minlength=27).astype(np.int16) if word else np.zeros(27, np.int16)
+
+
+def _once(xs: list[tuple[str, str]], ys: list[tuple[str, str]]) -> np.ndarray:
+    """_distances(), with the slips between two words counted once."""
+    out = np.zeros(len(xs), np.int64)
+    for k in (0, 1):
+        at: dict[tuple[str, str], int] = {}
+        place = [at.setdefault((x[k], y[k]), len(at)) for x, y in zip(xs, ys)]
+        if at:
+            out = np.maximum(out, many_slips([a for a, _ in at], [b for _, b in at])[place])
+    return out
+
+
+def to_pivots(groups: list[tuple[list[tuple[str, str]], list[tuple[str, str]]]], most: int) -> list[np.ndarray]:
+    """For each group (names, pivots) the distances of the names to the pivots; where one is more than ``most``, possibly only a bound from below that is so as well.
+
+    Words differ by as many slips at least as letters are missing in one of them, whatever their order. Slips are counted only where this bound leaves room, for all groups at once.
+    """
+    out = []
+    for names, pivots in groups:
+        low = np.zeros((len(names), len(pivots)), np.int64)
+        for k in (0, 1):
+            more = np.array([_bag(x[k]) for x in names])[:, None, :] - np.array([_bag(x[k]) for x in pivots])[None, :, :]
+            low = np.maximum(low, np.maximum(np.maximum(more, 0).sum(axis=2), np.maximum(-more, 0).sum(axis=2)))
+        out.append(low)
+    places = [np.nonzero(low <= most) for low in out]
+    exact = _once([g[0][i] for g, (r, _) in zip(groups, places) for i in r.tolist()], [g[1][j] for g, (_, c) in zip(groups, places) for j in c.tolist()])
+    at = 0
+    for low, (r, c) in zip(out, places):
+        low[r, c] = exact[at : at + len(r)]
+        at += len(r)
+    return out
+
+
 def pivots_of(names: list[tuple[str, str]], radius: int) -> list[tuple[str, str]]:
     """Names of which no two are within twice the radius of one another, as many as there are in this order, MOST_PIVOTS at most."""
     out: list[tuple[str, str]] = []
+    bags = np.zeros((2, MOST_PIVOTS, 27), np.int16)
     for x in names:
-        if len(out) < MOST_PIVOTS and (not out or _distances([x] * len(out), out).min() > 2 * radius):
+        if len(out) == MOST_PIVOTS:
+            break
+        more = np.array([_bag(x[0]), _bag(x[1])])[:, None, :] - bags[:, : len(out)]
+        low = np.maximum(np.maximum(more, 0).sum(axis=2), np.maximum(-more, 0).sum(axis=2)).max(axis=0)  # no pair has fewer slips
+        near = (out[j] for j in np.flatnonzero(low <= 2 * radius).tolist())
+        if not any(max(slips(x[0], p[0], 2 * radius), slips(x[1], p[1], 2 * radius)) <= 2 * radius for p in near):
+            bags[0, len(out)], bags[1, len(out)] = _bag(x[0]), _bag(x[1])
             out.append(x)
     return out
 
@@ -274,9 +325,10 @@ def pivots_of(names: list[tuple[str, str]], radius: int) -> list[tuple[str, str]
 def celled(objects: DataFrame, key: list[str], radius: int = SLIPS) -> DataFrame:
     """(*key, family, given, cell, core): each name in the cell of its nearest pivot (core), and copied to every lower cell that can hold a name within the radius.
 
-    Blocks of one key are infinitely far from one another. The pivots of a block are names of a sample of about SAMPLE (drawn by hash) that lie apart. Two names within the radius
-    have distances to any pivot that differ by the radius at most, so a name is copied
-    to the lower cells whose pivot is at most 2 * radius farther than its nearest: two near names share the lower of their cells, and no other as one's own.
+    Blocks of one key are infinitely far from one another. The pivots of a block are names of a sample of about SAMPLE (drawn by hash) that lie apart. A cell holds the names that are within
+    twice the radius of its pivot, as their nearest; names farther from all pivots share the last cell of their block. Two names within the radius have distances to any pivot that differ by
+    the radius at most, so a name is copied to the lower cells whose pivot is within three times the radius, and, if it has a cell of a pivot itself, at most twice the radius farther than that:
+    two near names share the lower of their cells, and no other as one's own.
     """
     distinct = objects.select(*key, "family", "given").distinct()
     sizes = distinct.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
@@ -287,27 +339,34 @@ def celled(objects: DataFrame, key: list[str], radius: int = SLIPS) -> DataFrame
     def picked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [pivots_of([(r["family"], r["given"]) for r in names], radius) for names in b.column(len(key)).to_pylist()]
-            held = pa.array([[{"family": f, "given": g} for f, g in p] for p in found], pa.list_(pa.struct([("family", pa.string()), ("given", pa.string())])))
+            held = pa.array([",".join(f"{f}|{g}" for f, g in p) for p in found], pa.string())  # one value per block, which is read once wherever it comes
             yield pa.RecordBatch.from_arrays([*b.columns[: len(key)], held], names=[*key, "pivots"])
 
-    pivots = samples.mapInArrow(picked, schema + ", pivots array<struct<family:string,given:string>>")
+    pivots = samples.mapInArrow(picked, schema + ", pivots string")
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for at in range(0, b.num_rows, 1000):
-                part = b.slice(at, 1000)
+            for at in range(0, b.num_rows, 2000):
+                part = b.slice(at, 2000)
                 names = list(zip(part.column(len(key)).to_pylist(), part.column(len(key) + 1).to_pylist()))
-                theirs = [[(p["family"], p["given"]) for p in ps] if ps else [("", "")] for ps in part.column(len(key) + 2).to_pylist()]  # none drawn: one cell
-                owner = np.repeat(np.arange(len(names)), [len(p) for p in theirs])
-                far = _distances([names[i] for i in owner], [p for ps in theirs for p in ps])
+                of = part.column(len(key) + 2).fill_null("|").dictionary_encode()  # none drawn: one cell
+                block = of.indices.to_numpy(zero_copy_only=False)
+                groups = [(np.flatnonzero(block == k).tolist(), [tuple(p.split("|")) for p in text.split(",")]) for k, text in enumerate(of.dictionary.to_pylist())]
                 rows = []
-                for i, d in enumerate(np.split(far, np.cumsum([len(p) for p in theirs])[:-1])):
-                    own = int(d.argmin())
-                    rows += [(i, int(c), c == own) for c in np.flatnonzero(d[: own + 1] <= d[own] + 2 * radius)]
+                found = to_pivots([([names[i] for i in which], ps) for which, ps in groups], 3 * radius)
+                for (which, _), far in zip(groups, found):
+                    for i, d in zip(which, far):
+                        own, least = int(d.argmin()), int(d.min())
+                        if least > 2 * radius:
+                            own, least = len(d), radius  # the last cell
+                        rows += [(i, int(c), False) for c in np.flatnonzero(d[:own] <= min(3 * radius, least + 2 * radius))]
+                        rows.append((i, own, True))
                 take = pa.array([r[0] for r in rows], pa.int32())
                 yield pa.RecordBatch.from_arrays([*[c.take(take) for c in part.columns[: len(key) + 2]], pa.array([r[1] for r in rows], pa.int32()), pa.array([bool(r[2]) for r in rows], pa.bool_())], names=[*key, "family", "given", "cell", "core"])
 
-    return distinct.join(pivots, key, "left").select(*key, "family", "given", "pivots").mapInArrow(placed, schema + ", family string, given string, cell int, core boolean")
+    at = distinct.join(pivots, key, "left").select(*key, "family", "given", "pivots")
+    together = _widely(at, *key, F.pmod(F.xxhash64("family", "given"), F.lit(8))).sortWithinPartitions(*key)  # a large block in eight parts
+    return together.mapInArrow(placed, schema + ", family string, given string, cell int, core boolean")
 
 
 def radius_pairs(objects: DataFrame, key: list[str], radius: int = SLIPS) -> DataFrame:
@@ -334,7 +393,7 @@ def radius_pairs(objects: DataFrame, key: list[str], radius: int = SLIPS) -> Dat
                 yield b.filter(pa.array(_distances(list(zip(fa, ga)), list(zip(fb, gb))) <= radius))
 
     schema = ", ".join(f"{k} string" for k in [*key, *cols])
-    return met.select(*key, *cols).mapInArrow(judged, schema)
+    return _widely(met.select(*key, *cols)).mapInArrow(judged, schema)
 
 
 def _judged(pa_: list[str], ka: str, pb: list[str], kb: str) -> str | None:
@@ -400,7 +459,7 @@ def judged_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([t.column(0), t.column(1), pa.array(out, pa.string()), t.column(8)], names=["a", "b", "verdict", "same_group"])
 
     picked = full.select("a", "b", "parts_a", "kinds_a", "parts_b", "kinds_b", "state_a", "state_b", F.coalesce(F.col("grp_a") == F.col("grp_b"), F.lit(False)).alias("same_group"))
-    return picked.mapInArrow(run, "a bigint, b bigint, verdict string, same_group boolean").where("verdict IS NOT NULL")
+    return _widely(picked).mapInArrow(run, "a bigint, b bigint, verdict string, same_group boolean").where("verdict IS NOT NULL")
 
 
 def _kept(step: DataFrame) -> DataFrame:

@@ -95,3 +95,15 @@ def test_namesakes_and_missing_states(spark):
     pairs = {tuple(r) for r in names.person_pairs(people).collect()}
     assert pairs == {("a", "f"), ("b", "c")}
     assert names.persons(df.limit(0)).count() == 0
+
+
+def test_distances_to_pivots_as_far_as_they_count():
+    r = random.Random(3)
+    word = lambda n: "".join(r.choice("abcdefgh") for _ in range(n))
+    pivots = [(word(r.randint(3, 9)), word(r.randint(0, 4))) for _ in range(30)]
+    xs = [(p[0][:-1] + "z", p[1]) for p in pivots] + [(word(r.randint(0, 10)), word(r.randint(0, 5))) for _ in range(200)] + [("é" * 50, "")]
+    got, rest = names.to_pivots([(xs, pivots), (xs[:3], pivots[:1])], 6)
+    assert rest.shape == (3, 1)
+    for i, x in enumerate(xs):
+        want = [max(names.slips(x[0], p[0], 99), names.slips(x[1], p[1], 99)) for p in pivots]
+        assert all(g == w if w <= 6 else g > 6 for g, w in zip(got[i].tolist(), want))
